@@ -51,7 +51,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """docs with all its columns and rows, its text without the covered lines, and beside these `_n_lines` and `_n_kept`."""
     own, gone = "__own_lines", "__gone_places"
     places = covered_places(docs).select(F.col("doc_id").alias("__gone_id"), F.col("places").alias(gone))
-    joined = docs.withColumn(own, _lines("text")).join(places, F.col("doc_id").cast("long") == F.col("__gone_id"), "left")
+    joined = docs.join(places, F.col("doc_id").cast("long") == F.col("__gone_id"), "left").withColumn(own, _lines("text"))
     covered = F.flatten(F.transform(gone, lambda p: F.array(*[p + k for k in range(WIDTH)])))
     # a row that shares its doc_id with a longer one may have fewer lines than places tell: what it hasn't got isn't missed
     kept = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), covered)
