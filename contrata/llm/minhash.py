@@ -6,9 +6,11 @@
 2. Equal sets collapse to one representative, so that a group of copies costs one row.
 3. In each bucket every representative is compared with the smallest one only (a star, linear in the bucket). The
    sketches leave out pairs that can't be similar; the rest is confirmed on the full sets, and components follow.
-4. Buckets that still hold several components are compared across these by sketch, in blocks of bounded size; survivors
-   are confirmed in the same way. After that each pair that shares a bucket was confirmed, refuted or is connected
-   already, so the components are those of all pairs in a bucket; no group is expanded into all its pairs.
+4. Buckets that still hold several components are compared across these by sketch, in blocks of bounded size. Among many
+   versions of one text most pairs are just below the threshold, so a second odd sketch, of the whole set, tells these
+   apart before any text is fetched: its XOR counts the shingles that differ. Survivors are confirmed in the same way.
+   After that each pair that shares a bucket was confirmed, refuted or is connected already, so the components are those
+   of all pairs in a bucket; no group is expanded into all its pairs.
 
 A pair at the threshold of 0.75 shares a bucket but for five in a million, and passes the sketch but for fewer.
 
@@ -31,6 +33,8 @@ from contrata.llm import common
 from contrata.llm.shingles import WIDTH, mix, shingle_sets
 
 SAMPLES, BANDS, BITS = 128, 32, 512
+#: Bits of the odd sketch of a whole set; it saturates, and then leaves nothing out, beyond some thousand differing shingles.
+SET_BITS = 2048
 THRESHOLD_PERCENT = 75
 #: A sketch must show this much at least: the threshold less five standard errors of the samples.
 SKETCH_LEAST = 0.55
@@ -41,7 +45,7 @@ _SEEDS = mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64))
 _A = (_SEEDS[:SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (_SEEDS[SAMPLES:] >> np.uint64(32)).astype(np.uint32)
 _CHUNK = 1024
-_SKETCH_SCHEMA = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, sketch array<long>"
+_SKETCH_SCHEMA = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, sketch array<long>, set_sketch binary"
 
 
 def samples(shingles: np.ndarray) -> np.ndarray:
@@ -67,6 +71,26 @@ def most_differing() -> int:
     return int(np.ceil(BITS / 2 * (1 - (1 - 2 / BITS) ** differing)))
 
 
+def set_sketches(sets: list[np.ndarray]) -> list[bytes]:
+    """Parity bitmaps of whole sets."""
+    out = []
+    for i in range(0, len(sets), 256):
+        part = sets[i : i + 256]
+        owner = np.repeat(np.arange(len(part)), [len(s) for s in part])
+        flat = np.bincount(owner * SET_BITS + (np.concatenate(part) % np.uint64(SET_BITS)).astype(np.int64), minlength=len(part) * SET_BITS)
+        out += [row.tobytes() for row in np.packbits((flat & 1).astype(np.uint8).reshape(-1, SET_BITS), axis=1)]
+    return out
+
+
+def most_differing_sets(sizes: np.ndarray) -> np.ndarray:
+    """The XOR population count, by the sum of two sets' sizes, that a pair at the threshold exceeds in less than one of 10^8 cases: six standard deviations above the mean."""
+    t = THRESHOLD_PERCENT / 100
+    m = np.floor(np.asarray(sizes, dtype=np.float64) * (1 - t) / (1 + t))
+    one, two = (1 - 2 / SET_BITS) ** m, (1 - 4 / SET_BITS) ** m
+    variance = SET_BITS / 4 * (1 - one**2) + SET_BITS * (SET_BITS - 1) / 4 * (two - one**2)
+    return np.ceil(SET_BITS / 2 * (1 - one) + 6 * np.sqrt(np.maximum(variance, 0)) + 2)
+
+
 def _bands(matrix: np.ndarray) -> np.ndarray:
     rows = SAMPLES // BANDS
     out = np.zeros((len(matrix), BANDS), dtype=np.uint64) + mix(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(40))
@@ -87,8 +111,8 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
     matrix = np.array([samples(s) for s in sets if len(s)], dtype=np.uint32).reshape(-1, SAMPLES)
     digest = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype=np.int64).reshape(-1, 2)
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), _lists(_bands(matrix), present, BANDS), _lists(odd_sketches(matrix), present, BITS // 64)],
-        names=["doc_id", "n_shingles", "digest_a", "digest_b", "bands", "sketch"],
+        [batch.column("doc_id"), pa.array(sizes), pa.array(digest[:, 0]), pa.array(digest[:, 1]), _lists(_bands(matrix), present, BANDS), _lists(odd_sketches(matrix), present, BITS // 64), pa.array(set_sketches(sets), pa.binary())],
+        names=["doc_id", "n_shingles", "digest_a", "digest_b", "bands", "sketch", "set_sketch"],
     )
 
 
@@ -152,12 +176,20 @@ def _across(bits_most: int):
         node, label = group.column("node").to_numpy(), group.column("label").to_numpy()
         side = group.column("side").to_numpy()
         words = np.array(group.column("sketch").to_pylist(), dtype=np.int64).view(np.uint64)
+        sizes = group.column("n_shingles").to_numpy()
+        whole = np.frombuffer(b"".join(group.column("set_sketch").to_pylist()), dtype=np.uint64).reshape(-1, SET_BITS // 64)
+        bands = np.array(group.column("bands").to_pylist(), dtype=np.int64)
+        bucket = group.column("bucket")[0].as_py()
         left = np.flatnonzero(side != 2)
         right = np.flatnonzero(side != 1)
         found_a, found_b = [], []
         for i in left:
             others = right[(label[right] != label[i]) & ((side[i] == 1) | (node[right] > node[i]))]
             close = others[np.bitwise_count(words[others] ^ words[i]).sum(axis=1) <= bits_most]
+            close = close[np.bitwise_count(whole[close] ^ whole[i]).sum(axis=1) <= most_differing_sets(sizes[close] + sizes[i])]
+            # a pair meets in each bucket that it shares, and is told in the first of them alone
+            shared = bands[close] == bands[i]
+            close = close[bands[i][shared.argmax(axis=1)] == bucket]
             found_a += [node[i]] * len(close)
             found_b += node[close].tolist()
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
@@ -173,7 +205,7 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, scr
     # cell (i, j), i <= j, holds blocks i and j; within i = j all members meet, else one side meets the other
     cells = open_.select("bucket", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("bucket", "node", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"))
-    with_sketch = cells.join(sketches.select(F.col("doc_id").alias("node"), "sketch"), "node")
+    with_sketch = cells.join(sketches.select(F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch", "set_sketch"), "node")
     return with_sketch.groupBy("bucket", "i", "j").applyInArrow(_across(most_differing()), "a long, b long").distinct()
 
 
@@ -197,7 +229,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = scratch.keep(_confirmed(scratch.keep(star), docs))
     labels = scratch.keep(components(links, scratch))
 
-    crossing = scratch.keep(_cross_pairs(members.select("bucket", "rep"), labels, named.select("doc_id", "sketch").dropDuplicates(["doc_id"]), scratch))
+    crossing = scratch.keep(_cross_pairs(members.select("bucket", "rep"), labels, named.select("doc_id", "n_shingles", "bands", "sketch", "set_sketch"), scratch))
     more = scratch.keep(_confirmed(crossing, docs))
     same = copies.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     groups = scratch.keep(components(links.unionByName(more).unionByName(same), scratch))

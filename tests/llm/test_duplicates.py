@@ -97,6 +97,25 @@ def test_odd_sketches_estimate_similarity():
         assert (differing <= minhash.most_differing()) == (share > 0.55)
 
 
+def test_sketches_of_sets_never_leave_out_a_similar_pair():
+    rng = np.random.default_rng(2)
+    for n in (4, 40, 400, 4000):
+        differing = []
+        for _ in range(200):
+            both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            own = int(n * 0.25 / 1.75)
+            a = np.concatenate([both[own:], rng.integers(0, 1 << 63, own, dtype=np.uint64)])
+            x, y = (np.frombuffer(b, np.uint64) for b in minhash.set_sketches([both, a]))
+            differing.append(int(np.bitwise_count(x ^ y).sum()))
+        most = minhash.most_differing_sets(np.array([2 * n]))[0]
+        assert max(differing) <= most
+        if 400 <= n < 4000:
+            far = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            far[: n * 3 // 4] = both[: n * 3 // 4]  # a similarity of 0.6
+            x, y = (np.frombuffer(b, np.uint64) for b in minhash.set_sketches([both, far]))
+            assert np.bitwise_count(x ^ y).sum() > most
+
+
 def brute_lines(rows):
     seen = {}
     for i, t in sorted(((i, t) for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0)):
