@@ -12,6 +12,9 @@ A document is rejected if its perplexity lies outside the quantiles LOW and HIGH
 widened by the factor SLACK. Short texts vary more, so quantiles are taken among documents whose lengths have the same
 number of bits. Both tails go: symbols, capitals and tables are unlikely, text that repeats itself is either.
 
+Texts meet the trusted ids without a shuffle up to BROADCAST_IDS of these; beyond, Spark joins them by size as it does any
+two tables, and the same documents are counted.
+
 Cases: null or empty text: no perplexity, rejected. Null or unseen language: the quantiles of all languages. A document
 that is labelled twice is trusted if one label says so; labels for absent documents do nothing. No trusted text: all
 with text are kept. Repeated rows: a row each. Empty table: no rows.
@@ -38,6 +41,8 @@ LEAST_TRUSTED = 50
 #: One in so many trusted documents is held out of the counts: a model knows its own texts better than others of the same
 #: kind, so the upper quantile is that of trusted texts it hasn't seen (the lower one is that of all).
 HELD_OUT = 4
+#: So many trusted ids (about 60 bytes each in a hash table) are broadcast to the documents; more are joined by a shuffle of the texts.
+BROADCAST_IDS = 1 << 20
 START = 2
 
 _FACTORS = mix(np.arange(11, 11 + ORDER, dtype=np.uint64)) | np.uint64(1)
@@ -251,7 +256,8 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     common.small_batches(spark)
     scratch = common.Scratch(spark)
     rows = _rows(docs)
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    good = scratch.keep(labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
+    good = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
     trusted = rows.select("doc_id", "text").where(~held).join(good, "doc_id", "left_semi").select("text")
     scored = perplexities(rows, trusted, scratch)

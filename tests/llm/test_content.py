@@ -61,9 +61,10 @@ def by_hand(texts):
     return perplexity
 
 
-@pytest.mark.parametrize("rows", [3_000_000, 700])
-def test_perplexities_equal_the_definition(spark, monkeypatch, rows):
+@pytest.mark.parametrize(("rows", "ids"), [(3_000_000, 1 << 20), (700, 5)])
+def test_perplexities_equal_the_definition(spark, monkeypatch, rows, ids):
     monkeypatch.setattr(kneser, "SHARD_ROWS", rows)
+    monkeypatch.setattr(kneser, "BROADCAST_IDS", ids)
     texts = [prose(i, 60) for i in range(12)] + ["Ää 123 😀 |", "", None, prose(1, 60)]
     docs = spark.createDataFrame([(min(i, 14), t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1) for i in range(6)] + [(7, 0), (0, 1), (99, 1)], "doc_id long, quality int")
