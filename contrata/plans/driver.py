@@ -362,3 +362,73 @@ def p4(spark, sf_dir):
     some = lambda n: F.transform(F.slice(F.array(F.lit(0), F.lit(1), F.lit(2)), 1, (F.col("o_orderkey") % n).cast("int")), lambda i: i.cast("string"))
     notices = table(spark, sf_dir, "orders").select("o_orderkey", some(4).alias("ids"), some(3).alias("tender"))
     return reshape.lots(notices, "o_orderkey", ["ids", "tender"], {"value": ["tender", "ids"]}).select("o_orderkey", "lot_index")
+
+
+def _matched(spark, sf_dir) -> DataFrame:
+    """Classified contracts, one in five of them with a notice and one in 22 negotiated without publicity."""
+    left = sara(spark, sf_dir).select(F.col("id").alias("left_ord"), F.col("ano").alias("year"), "amount", "expediente", "is_sara", (F.col("id") % 22 == 0).alias("neg_sin_pub"))
+    found = left.where("left_ord % 5 = 0").select("left_ord", F.col("left_ord").alias("right_ord"), F.lit("E1").alias("strategy"))
+    return coverage.with_matches(left, found)
+
+
+MATCHED_SQL = SARA_SQL + ", q AS (SELECT id, ano, amount, expediente, is_individual OR sara_by_lots AS is_sara, id % 5 = 0 AS is_matched FROM s), m AS (SELECT *, is_sara AND NOT is_matched AS missing_all, is_sara AND NOT is_matched AND id % 22 <> 0 AS missing FROM q) "
+
+
+@register("q6_missing", MATCHED_SQL + "SELECT id AS left_ord, is_matched, missing_all, missing FROM m")
+def q6(spark, sf_dir):
+    return _matched(spark, sf_dir).select("left_ord", "is_matched", "missing_all", "missing")
+
+
+@register("q7_files", MATCHED_SQL + ", f AS (SELECT expediente, bool_or(is_matched) AS hit, sum(amount) AS amount FROM m WHERE is_sara GROUP BY 1) SELECT count(*) AS files, count(*) FILTER (hit) AS matched, round(sum(amount) FILTER (hit), 1) AS matched_amount FROM f")
+def q7(spark, sf_dir):
+    return coverage.by_file(_matched(spark, sf_dir)).withColumn("matched_amount", F.round("matched_amount", 1))
+
+
+@register("g16_by_year", MATCHED_SQL + ", o AS (SELECT ano, count(*) AS sara, count(*) FILTER (is_matched) AS matched, count(*) FILTER (missing) AS missing FROM m WHERE is_sara GROUP BY 1), n AS (SELECT ano, count(*) AS notices FROM m WHERE id % 7 = 0 GROUP BY 1) SELECT ano AS year, sara, matched, missing, round_even(100.0e0 * matched / sara, 1) AS rate, round_even(sara / CAST(notices AS DOUBLE), 2) AS ratio FROM o LEFT JOIN n USING (ano)")
+def g16(spark, sf_dir):
+    rows = _matched(spark, sf_dir)
+    out = coverage.by_year(rows, rows.where("left_ord % 7 = 0").select("year"))
+    return out.toDF("year", "sara", "matched", "missing", "rate", "ratio")
+
+
+@register("q12_match_rate", f"""WITH c AS ({CONTRACTS_SQL}), k AS (SELECT DISTINCT {_company_sql("c_name")} AS k FROM customer WHERE c_custkey % 3 = 0), j AS (SELECT c.importe_adjudicacion AS amount, k.k FROM c LEFT JOIN k ON k.k = {_company_sql("adjudicatario")})
+SELECT count(*) AS rows, count(k) AS matched, round_even(100.0e0 * count(k) / count(*), 1) AS rate, round_even(100.0e0 * sum(amount) FILTER (k IS NOT NULL) / sum(amount), 1) AS amount_rate FROM j""")
+def q12(spark, sf_dir):
+    known = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(text.company_key(F.col("c_name")).alias("empresa_norm"))
+    return companies.match_rate(contracts(spark, sf_dir), known)
+
+
+@register("g9_several_companies", "SELECT CAST(l_suppkey AS VARCHAR) AS persona_hash, count(DISTINCT l_partkey) AS n_companies FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1")
+def g9(spark, sf_dir):
+    return companies.several_companies(table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("persona_hash"), F.col("l_partkey").alias("empresa_norm")))
+
+
+@register("w4_carried", "SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS kind FROM events")
+def w4(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("kind"))
+    return windows.carried(events, "user_id", "event_id", "kind").select("event_id", "kind")
+
+
+@register("d5_most_complete", "WITH x AS (SELECT o_custkey, o_orderkey, o_orderdate, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 4 > 0 THEN o_orderpriority END AS o_orderpriority FROM orders) SELECT o_custkey, o_orderkey FROM x QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus IS NOT NULL)::INT + (o_orderpriority IS NOT NULL)::INT DESC, o_orderdate DESC, o_orderkey DESC) = 1")
+def d5(spark, sf_dir):
+    key = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", F.when(key % 3 > 0, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(key % 4 > 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    return dedupe.most_complete(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey")
+
+
+@register("c7_unique_join", "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ';' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1")
+def c7(spark, sf_dir):
+    of = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_set("o_orderpriority")).alias("p"))
+    return of.select("o_custkey", text.unique_join(F.col("p")).alias("priorities"))
+
+
+@register("c2_known_or_null", "SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN p_name END AS name FROM part")
+def c2(spark, sf_dir):
+    written = F.when(F.col("p_partkey") % 4 == 0, "nan").when(F.col("p_partkey") % 4 == 1, "None").when(F.col("p_partkey") % 4 == 2, "").otherwise(F.col("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.known_or_null(written).alias("name"))
+
+
+@register("g12_scalars", "SELECT count(*) AS n, count(DISTINCT o_custkey) AS buyers, count(CASE WHEN o_orderkey % 19 > 0 THEN 1 END) AS with_amount, round(sum(o_totalprice), 1) AS total, round(quantile_cont(o_totalprice, 0.5), 3) AS median, min(o_totalprice) AS least, max(o_totalprice) AS most FROM orders")
+def g12(spark, sf_dir):
+    price = F.col("o_totalprice")
+    return table(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.countDistinct("o_custkey").alias("buyers"), F.count_if(F.col("o_orderkey") % 19 > 0).alias("with_amount"), F.round(F.sum(price), 1).alias("total"), F.round(F.percentile(price, 0.5), 3).alias("median"), F.min(price).alias("least"), F.max(price).alias("most"))
