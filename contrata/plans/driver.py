@@ -259,6 +259,18 @@ def j14(spark, sf_dir):
     return graph.co_membership(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), "person", "company")
 
 
+_MONTHLY = "SELECT DISTINCT o_custkey AS company, l_suppkey * 100000 + year(l_shipdate) * 12 + month(l_shipdate) AS person FROM orders JOIN lineitem ON l_orderkey = o_orderkey"
+
+
+@register("j14_shared_officers_monthly", f"WITH m AS ({_MONTHLY}), d AS (SELECT person FROM m GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT m.* FROM m SEMI JOIN d USING (person)) SELECT a.company AS company_a, b.company AS company_b, count(*) AS n_shared, string_agg(CAST(a.person AS VARCHAR), ',' ORDER BY a.person) AS shared FROM k a JOIN k b ON a.person = b.person AND a.company < b.company GROUP BY 1, 2")
+def j14_monthly(spark, sf_dir):
+    """J14 over every order and line: a person is a supplier in a month of shipping, who has few companies at any size of the tables."""
+    month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_suppkey") * 100000 + month).alias("person"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("company"))
+    return graph.co_membership(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), "person", "company")
+
+
 @register("j5_lookup_last", "WITH x AS (SELECT o_custkey, o_orderstatus, arg_max(o_orderpriority, o_orderkey) AS priority FROM orders GROUP BY 1, 2) SELECT c_custkey, priority FROM customer LEFT JOIN x ON o_custkey = c_custkey AND o_orderstatus = 'F'")
 def j5(spark, sf_dir):
     left = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("F").alias("o_orderstatus"))
