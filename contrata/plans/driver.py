@@ -243,6 +243,18 @@ def j10(spark, sf_dir):
     return matching.shared_tokens(parts.where("p_partkey % 4 = 0").withColumnRenamed("p_partkey", "left_ord"), parts.where("p_partkey % 4 = 1").withColumnRenamed("p_partkey", "right_ord"), 0.6, 2)
 
 
+_WORDS = "list_distinct(list_filter(string_split(upper(p_name || ' ' || p_type || ' ' || p_brand), ' '), lambda x: length(x) > 2))"
+
+
+@register("j10_shared_tokens_all", f"""WITH t AS (SELECT p_partkey, {_WORDS} AS w FROM part), e AS (SELECT p_partkey, len(w) AS n, unnest(w) AS t FROM t)
+SELECT l.p_partkey AS left_ord, r.p_partkey AS right_ord, count(*) AS shared FROM e l JOIN e r ON l.t = r.t AND l.p_partkey < r.p_partkey GROUP BY l.p_partkey, r.p_partkey, l.n, r.n HAVING count(*) >= 2 AND count(*) >= 0.6 * least(l.n, r.n)""")
+def j10_all(spark, sf_dir):
+    """J10 over every pair of parts."""
+    words = text.tokens(F.upper(F.concat_ws(" ", "p_name", "p_type", "p_brand")))
+    parts = table(spark, sf_dir, "part").withColumn("tokens", words)
+    return matching.shared_tokens(parts.withColumnRenamed("p_partkey", "left_ord"), parts.withColumnRenamed("p_partkey", "right_ord"), 0.6, 2).where("left_ord < right_ord")
+
+
 @register("j12_spread", "WITH f AS (SELECT l_orderkey, min(l_linenumber) AS first FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) SELECT l.l_orderkey, l.l_linenumber, l_returnflag <> 'R' AND first IS NOT NULL AS spread, CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE first END AS found FROM lineitem l LEFT JOIN f USING (l_orderkey)")
 def j12(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("file"), F.col("l_orderkey").cast("string")).alias("file"), (F.col("l_returnflag") == "R").alias("hit"))

@@ -22,3 +22,15 @@ def test_shared_officers_of_all_orders(spark):
             wanted[a, b].append(str(person))
     got = registry.queries()["j14_shared_officers_monthly"](spark, DATA).collect()
     assert sorted((r.company_a, r.company_b, r.n_shared, r.shared) for r in got) == sorted((a, b, len(p), ",".join(p)) for (a, b), p in wanted.items())
+
+
+def test_shared_tokens_of_all_parts(spark):
+    rows = duckdb.sql(f"select p_partkey, upper(p_name || ' ' || p_type || ' ' || p_brand) from '{DATA}/part.parquet'").fetchall()
+    words = {key: {w for w in told.split(" ") if len(w) > 2} for key, told in rows}
+    wanted = []
+    for a, b in combinations(sorted(words), 2):
+        shared = len(words[a] & words[b])
+        if shared >= 2 and shared >= 0.6 * min(len(words[a]), len(words[b])):
+            wanted.append((a, b, shared))
+    got = registry.queries()["j10_shared_tokens_all"](spark, DATA).collect()
+    assert sorted(tuple(r) for r in got) == wanted and {k % 4 for k, _, _ in wanted} == {0, 1, 2, 3}
