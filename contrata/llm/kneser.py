@@ -10,7 +10,9 @@ shards; a model that outgrows one shard takes more passes instead of more memory
 
 A document is rejected if its perplexity lies outside the quantiles LOW and HIGH of trusted documents of its language,
 widened by the factor SLACK. Short texts vary more, so quantiles are taken among documents whose lengths have the same
-number of bits. Both tails go: symbols, capitals and tables are unlikely, text that repeats itself is either.
+number of bits. A language with fewer than LEAST_TRUSTED held-out documents is still judged by its own, with a slack that
+is wider the fewer there are; if none of its trusted documents is held out, its upper limit is at least that of all
+languages. Both tails go: symbols, capitals and tables are unlikely, text that repeats itself is either.
 
 Texts meet the trusted ids without a shuffle up to BROADCAST_IDS of these; beyond, Spark joins them by size as it does any
 two tables, and the same documents are counted.
@@ -36,7 +38,7 @@ ORDER = 5
 #: Rows of the model (about 12 bytes each, twice over in the lookup table) that are broadcast at a time.
 SHARD_ROWS = 3_000_000
 LOW, HIGH, SLACK = 0.01, 0.99, 1.1
-#: A quantile is taken over so many trusted documents at least; else those of all lengths, then of all languages.
+#: A quantile of a length is taken over so many held-out documents at least, else it is that of all lengths; a language with fewer has a wider slack.
 LEAST_TRUSTED = 50
 #: One in so many trusted documents is held out of the counts: a model knows its own texts better than others of the same
 #: kind, so the upper quantile is that of trusted texts it hasn't seen (the lower one is that of all).
@@ -268,13 +270,17 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     unseen = F.percentile_approx(F.when(held, F.col("perplexity")), HIGH, 10_000)
     # one row per language and length, per language, and in all: joined to every document, at most a few thousand rows
     of = known.rollup("lang", "size").agg(F.struct(seen[0].alias("low"), F.coalesce(unseen, seen[1]).alias("high")).alias("q"), F.count_if(held).alias("n_held"), F.grouping_id().alias("level"))
-    of = of.where((F.col("level") == 3) & F.col("q.low").isNotNull() | (F.col("n_held") >= LEAST_TRUSTED))
+    few = F.sqrt(F.lit(float(LEAST_TRUSTED)) / F.greatest("n_held", F.lit(1)))
+    slack = F.when((F.col("level") == 1) & (F.col("n_held") < LEAST_TRUSTED), 1 + (SLACK - 1) * few).otherwise(SLACK)
+    of = of.withColumn("q", F.struct("q.low", "q.high", slack.alias("slack"), "n_held"))
+    own = (F.col("level") == 1) & F.col("lang").isNotNull() | (F.col("level") == 3)
+    of = of.where(own & F.col("q.low").isNotNull() | (F.col("n_held") >= LEAST_TRUSTED))
     out = scored
     for level, keys in ((0, ["lang", "size"]), (1, ["lang"]), (3, [])):
         part = of.where(F.col("level") == level).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("q").alias(f"q{level}"))
         out = out.join(part, [out[k].eqNullSafe(part[f"_{k}"]) for k in keys], "left") if keys else out.join(part, F.lit(True), "left")
     q = F.coalesce("q0", "q1", "q3")
-    least, most = q["low"] / SLACK, q["high"] * SLACK
+    least, most = q["low"] / q["slack"], F.when(q["n_held"] > 0, q["high"]).otherwise(F.greatest(q["high"], F.col("q3")["high"])) * q["slack"]
     kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity").between(least, most), F.lit(True))
     return out.select("doc_id", "lang", "key", "perplexity", least.alias("least"), most.alias("most"), kept.alias("kept"))
 

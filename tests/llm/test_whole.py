@@ -1,0 +1,24 @@
+"""What an operator mustn't leave out: small languages, whole licence texts, layers behind noise, deep paths."""
+
+import random
+
+from contrata.llm import kneser
+
+from .conftest import prose
+
+
+def test_a_small_language_is_judged_by_its_own_quantiles(spark, monkeypatch):
+    monkeypatch.setattr(kneser, "HIGH", 0.8)  # so that the small language lies beyond what most documents reach
+    r = random.Random(1)
+    words = ["".join(r.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(r.randrange(2, 9))) for _ in range(4000)]
+    minor = [(10_000 + i, " ".join(r.choice(words) for _ in range(60)), "el") for i in range(80)]
+    rows = [(i, prose(i, 60), "en") for i in range(400)] + minor
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for n_trusted in (3, 40):
+        trusted = [(i, 1) for i in range(300)] + [(i, 1) for i, _, _ in minor[:n_trusted]]
+        got = [r for r in kneser.quality(docs, spark.createDataFrame(trusted, "doc_id long, quality int")).collect() if r.lang == "el"]
+        limits = {(r.least, r.most) for r in got}
+        highest = max(r.perplexity for r in got if r.doc_id < 10_000 + n_trusted)
+        assert len(limits) == 1 and min(limits)[1] >= highest
+        if n_trusted == 40:
+            assert sum(r.kept for r in got if r.doc_id >= 10_000 + n_trusted) >= 38
