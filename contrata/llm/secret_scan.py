@@ -6,6 +6,11 @@ no layer gives a new one. A layer that was seen before, by the hash of its conte
 repeated parts end. A finding in a layer is mapped to the span of the original text whose decoding it lies in: escapes
 keep a map from each decoded character to its place, other encodings have the place of the whole region.
 
+Decoded bytes are scanned whole, whatever stands among them: what isn't UTF-8 is replaced, UTF-16 parts and compressed
+streams are taken out wherever they begin. Base64 and hexadecimal runs are read line by line, and joined where only a line
+break parts them (a finding across lines has the place of all of them); base64 is read from each of four places, as text
+may be glued to it. Bytes without a printable run of LEAST_RUN characters, which any finding has, are left.
+
 Base findings stay as they are; decoded ones are added. A stream is decompressed to at most LAYER_BYTES, as a guard
 against archives that expand without end: what lies beyond isn't scanned, and the row says so in n_cut.
 
@@ -16,7 +21,6 @@ along. Empty table: no rows. Positions count code points, end exclusive.
 from __future__ import annotations
 
 import base64
-import binascii
 import bisect
 import hashlib
 import re
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from contrata.llm import common
 
 LAYER_BYTES = 64 << 20
+LEAST_RUN = 16
 KINDS = ("assign", "access", "hex")
 
 _ASSIGN = re.compile(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
@@ -42,6 +47,13 @@ _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _HEXES = re.compile(r"(?:[0-9a-fA-F]{2}){16,}")
+_BREAK = re.compile(r"[ \t]*\r?\n[ \t>]*")
+#: The short last line of a run over lines.
+_BASE64_END = re.compile(r"[ \t]*\r?\n[ \t>]*([A-Za-z0-9+/_-]{1,15}={0,2})(?=[ \t]*(?:\r?\n|$))")
+_HEXES_END = re.compile(r"[ \t]*\r?\n[ \t>]*((?:[0-9a-fA-F]{2}){1,15})(?=[ \t]*(?:\r?\n|$))")
+_RUN = re.compile(rb"[\t\n\r -~]{%d}" % LEAST_RUN)
+_WIDE = re.compile(rb"(?:[\t\n\r -~]\x00){%d,}[ -~]?" % (LEAST_RUN - 1))
+_STREAM = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]")
 
 
 def base_findings(text: str) -> list[tuple[int, int, int]]:
@@ -121,56 +133,77 @@ def _escapes(region: str) -> str | None:
         return None
 
 
-def _inflate(data: bytes) -> tuple[bytes, bool] | None:
-    """Decompressed data, and whether there would be more; None if it isn't compressed."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
-        stream = zlib.decompressobj(47)
-        try:
-            out = stream.decompress(data, LAYER_BYTES)
-        except zlib.error:
-            return None
-        return (out, bool(stream.unconsumed_tail)) if out else None
-    return None
-
-
-def _as_text(data: bytes) -> str | None:
-    """Decoded bytes that may be a text: UTF-8 and mostly printable."""
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, bool, bool] | None:
+    """What the stream at a place holds, where it ends, whether it is whole, and whether there would be more; None if there is none."""
+    if data[at : at + 2] != b"\x1f\x8b" and (len(data) < at + 3 or (data[at] << 8 | data[at + 1]) % 31):
+        return None
+    stream = zlib.decompressobj(47)
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
+        out = stream.decompress(memoryview(data)[at:], LAYER_BYTES)
+    except zlib.error:
         return None
-    shown = sum(c.isprintable() or c in "\n\r\t" for c in text[:4096])
-    return text if text and shown >= 0.9 * min(len(text), 4096) else None
-
-
-def _unwrapped(region: str) -> tuple[str, bool] | None:
-    """The text in a base64 or hexadecimal region, decompressed if it is a stream."""
-    tries = []
-    if len(region.rstrip("=")) % 4 != 1:
-        core = region.rstrip("=").replace("-", "+").replace("_", "/")
-        with_padding = core + "=" * (-len(core) % 4)
-        try:
-            tries.append(base64.b64decode(with_padding, validate=True))
-        except binascii.Error:
-            pass
-    for data in tries:
-        cut = False
-        while (inner := _inflate(data)) is not None:
-            data, more = inner
-            cut |= more
-        text = _as_text(data)
-        if text is not None:
-            return text, cut
-    return None
-
-
-def _unhexed(region: str) -> tuple[str, bool] | None:
-    data, cut = bytes.fromhex(region), False
-    while (inner := _inflate(data)) is not None:
-        data, more = inner
+    return (out, len(data) - len(stream.unused_data), stream.eof, bool(stream.unconsumed_tail)) if out else None
+
+
+def _contents(data: bytes) -> tuple[list[str], bool]:
+    """The texts in decoded bytes: those of all streams in them, and of the bytes that are no whole stream; and whether a stream was cut."""
+    texts, cut, work = [], False, [data]
+    while work:
+        data = work.pop()
+        at = first = 0
+        plain = []
+        while (m := _STREAM.search(data, at)) is not None:
+            at = m.start() + 1
+            if (inner := _inflate(data, m.start())) is not None:
+                out, end, whole, more = inner
+                work.append(out)
+                cut |= more
+                if whole or more:
+                    plain.append(data[first : m.start()])
+                    at = first = end
+        plain.append(data[first:])
+        for part in plain:
+            if _RUN.search(part):
+                texts.append(part.decode("utf-8", "replace"))
+            if b"\0" in part:
+                texts += [w[0].replace(b"\0", b"").decode("ascii") for w in _WIDE.finditer(part)]
+    return texts, cut
+
+
+def _unwrapped(region: str) -> tuple[list[str], bool]:
+    """The texts in a base64 region, read from each of four places."""
+    core = region.rstrip("=").replace("-", "+").replace("_", "/")
+    texts, cut = [], False
+    for k in range(4):
+        part = core[k : len(core) - ((len(core) - k) % 4 == 1)]
+        found, more = _contents(base64.b64decode(part + "=" * (-len(part) % 4)))
+        texts += found
         cut |= more
-    text = _as_text(data)
-    return None if text is None else (text, cut)
+    return texts, cut
+
+
+def _unhexed(region: str) -> tuple[list[str], bool]:
+    return _contents(bytes.fromhex(region))
+
+
+def _regions(text: str, pattern: re.Pattern, last: re.Pattern):
+    """(start, end, run) of the runs of a pattern, and of those that go on over lines."""
+    lines: list[tuple[int, int, str]] = []
+
+    def joined():
+        if lines and not lines[-1][2].endswith("=") and (m := last.match(text, lines[-1][1])):
+            lines.append((m.start(1), m.end(1), m[1]))
+        if len(lines) > 1:
+            yield lines[0][0], lines[-1][1], "".join(run for _, _, run in lines)
+
+    for m in pattern.finditer(text):
+        own = m.start(), m.end(), m[0]
+        yield own
+        if lines and (lines[-1][2].endswith("=") or not _BREAK.fullmatch(text, lines[-1][1], m.start())):
+            yield from joined()
+            lines = []
+        lines.append(own)
+    yield from joined()
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -191,11 +224,11 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
             work.append(inner)
         if ("\\" in layer.text or "&#" in layer.text) and (inner := _with_escapes(layer, _UNICODE, _escapes)):
             work.append(inner)
-        for pattern, unwrap in ((_BASE64, _unwrapped), (_HEXES, _unhexed)):
-            for m in pattern.finditer(layer.text):
-                if (inner := unwrap(m[0])) and inner[0] != m[0]:
-                    cut += inner[1]
-                    work.append(Layer(inner[0], layer.span(m.start(), m.end())))
+        for pattern, last, unwrap in ((_BASE64, _BASE64_END, _unwrapped), (_HEXES, _HEXES_END, _unhexed)):
+            for start, end, run in _regions(layer.text, pattern, last):
+                texts, more = unwrap(run)
+                cut += more
+                work.extend(Layer(t, layer.span(start, end)) for t in texts if t != run)
     return base, sorted(found), cut
 
 
