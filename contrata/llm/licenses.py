@@ -12,6 +12,9 @@ Cases: null text: empty, and an empty canonical text is never a licence. Repeate
 
 from __future__ import annotations
 
+import pkgutil
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,37 @@ KNOWN: list[tuple[str, str]] = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
 ]
 
+#: Complete texts that stand as files beside this module, each with its titles as far as they are on lines of their own.
+FILES = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD-3-Clause": "BSD-3-Clause"}
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "0BSD License"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"],
+}
+#: What begins the appendix on how to use a licence, and the terms after a title, where files may end or begin.
+APPENDIX = re.compile(r"END OF TERMS AND CONDITIONS\n")
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """The complete texts, with each of their titles, without the title and without the appendix."""
+    own = [(name, text) for name, text in KNOWN if name in TITLES and len(text) > 500]
+    for name, file in FILES.items():
+        text = pkgutil.get_data(__package__, f"texts/{file}.txt").decode("utf-8")
+        own.append((name, text))
+        if (m := APPENDIX.search(text)) is not None:
+            own += [(name, text[: m.end()]), (name, text[: m.start()])]
+    three = next(text for name, text in own if name == "BSD-3-Clause")
+    third = re.compile(r"3\. Neither.*?permission\.\n\n", re.S)
+    own.append(("BSD-2-Clause", third.sub("", three)))
+    own += [(name, re.sub(r"(?m)^\d\. ", "* ", text)) for name, text in own if name.startswith("BSD")]
+    return own + [(name, f"{title}\n\n{text}") for name, text in own for title in TITLES.get(name, [])]
+
+
+KNOWN += _whole_texts()
+
 #: Equivalent spellings, the second one canonical, applied in this order to lower-cased text.
 SPELLINGS: list[tuple[str, str]] = [
     ("licence", "license"), ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authorisation", "authorization"), ("authorised", "authorized"), ("calibre", "caliber"), ("cancelled", "canceled"),
@@ -53,8 +87,19 @@ SPELLINGS: list[tuple[str, str]] = [
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TYPOGRAPHIC, PLAIN = "“”‘’–—", "\"\"''--"
+#: Words after which "copyright" at a line's beginning is part of a sentence, and names no holder.
+SENTENCE = ["notice", "holder", "owner", "licen", "law", "statement", "interest", "protect", "disclaimer", "permission", "and ", "or ", "in ", "to ", "is ", "on ", "of "]
+
+
+def _not_starting(words: list[str]) -> str:
+    """A pattern of beginnings that none of the words has; DuckDB's patterns have no lookahead."""
+    heads = sorted({w[0] for w in words})
+    deeper = [(h, [w[1:] for w in words if w[0] == h]) for h in heads]
+    return "(?:" + "|".join([f"[^{''.join(heads)}\\n]", *[h + _not_starting(rest) for h, rest in deeper if all(rest)]]) + ")"
+
+
 #: Lines that name a holder or reserve rights; the mark must begin the line but for other signs.
-DROPPED_LINE = r"(^|\n)[^a-z0-9\n]*(copyright |\(c\) |©|all rights reserved)[^\n]*".replace("\\u00a9", "©")
+DROPPED_LINE = rf"(^|\n)[^a-z0-9\n]*(copyright {_not_starting(SENTENCE)}|\(c\) |©|all rights reserved)[^\n]*"
 NOT_ALNUM = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 

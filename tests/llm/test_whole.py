@@ -3,11 +3,14 @@
 import base64
 import gzip
 import random
+import re
+import textwrap
 import zlib
+from pathlib import Path
 
 import pytest
 
-from contrata.llm import kneser, secret_scan
+from contrata.llm import kneser, licenses, secret_scan
 
 from .conftest import prose
 
@@ -70,3 +73,22 @@ def test_prose_has_no_decoded_findings():
     for i in range(50):
         text = prose(i, 300).replace(" ", "\n" if i % 2 else "")
         assert secret_scan.scan(text)[1] == secret_scan.scan(text)[0]
+
+
+def test_whole_licence_files_are_known(spark):
+    def filed(name, title, width=70):
+        text = next(t for n, t in licenses.KNOWN if n == name and len(t) > 500)
+        paragraphs = [textwrap.fill(re.sub(r"\s+", " ", p), width) for p in text.split("\n\n")]
+        return "\n\n".join([title, "Copyright (c) 2024 Nobody and Others", *paragraphs])
+
+    rows = [("MIT", filed("MIT", "MIT License")), ("ISC", filed("ISC", "ISC License")), ("Zlib", filed("Zlib", "zlib License")), ("0BSD", filed("0BSD", "BSD Zero Clause License"))]
+    rows += [("ISC", filed("ISC", "", w)) for w in range(50, 90)]
+    texts = Path(licenses.__file__).parent / "texts"
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")):
+        rows.append((name, (texts / f"{file}.txt").read_text()))
+    bsd = (texts / "BSD-3-Clause.txt").read_text()
+    rows += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2016, Someone\nAll rights reserved.\n\n" + bsd), ("BSD-3-Clause", "Copyright Someone\n\n" + bsd)]
+    rows.append(("BSD-2-Clause", "BSD 2-Clause License\n\n" + bsd[: bsd.index("3. ")] + bsd[bsd.index("THIS SOFTWARE") :]))
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.license_scan(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
