@@ -38,3 +38,22 @@ LEAST_AMOUNT, FIRST_DATE, LAST_DATE = 1.0, "1990-01-01", "2030-12-31"
 MINOR_WORKS, MINOR_OTHER, AWARD_TOLERANCE, MOST_OFFERS, MOST_DAYS, MOST_BUDGET = 40_000, 15_000, 0.05, 500, 365, 50_000_000
 #: Matching tolerances (share, absolute), and those for grouped lots.
 TOLERANCE, WIDE_TOLERANCE = (0.10, 5_000.0), (0.15, 20_000.0)
+#: buyers' names and those that they have in notices, normalised and cut to 40 characters; notices' names of 5 characters or fewer aren't looked up.
+ALIASES = {
+    "ADIF PRESIDENCIA": ["ADMINISTRADOR DE INFRAESTRUCTURAS FERROV", "ADIF"],
+    "ADIF CONSEJO DE ADMINISTRACION": ["ADMINISTRADOR DE INFRAESTRUCTURAS FERROV", "ADIF"],
+    "ADIF ALTA VELOCIDAD PRESIDENCIA": ["ADIF ALTA VELOCIDAD", "ADIF AV"],
+    "ADIF ALTA VELOCIDAD CONSEJO DE ADMINISTR": ["ADIF ALTA VELOCIDAD", "ADIF AV"],
+    "EMPRESA PUBLICA DE METRO DE MADRID S A": ["METRO DE MADRID S A"],
+    "INSTITUT CATALA DE LA SALUT ICS": ["INSTITUT CATALA DE LA SALUT", "ICS"],
+    "CONSELLERIA DE SANIDADE SERGAS": ["SERVIZO GALEGO DE SAUDE", "SERGAS"],
+    "HOSPITAL UNIVERSITARIO DOCE DE OCTUBRE": ["HOSPITAL UNIVERSITARIO 12 DE OCTUBRE", "HOSPITAL 12 DE OCTUBRE"],
+    "HOSPITAL LA PAZ": ["HOSPITAL UNIVERSITARIO LA PAZ"],
+    "PARADORES DE TURISMO DE ESPANA S M E S A": ["PARADORES DE TURISMO DE ESPANA S A"],
+    "AENA DIRECCION DEL AEROPUERTO ADOLFO SUA": ["AENA S M E S A", "AENA CONSEJO DE ADMINISTRACION"],
+    "AENA DIRECCION DE CONTRATACION": ["AENA S M E S A", "AENA CONSEJO DE ADMINISTRACION"],
+    "SERVEI CATALA DE LA SALUT CATSALUT": ["SERVEI CATALA DE LA SALUT", "CATSALUT"],
+    "COMITE CENTRAL DE COMPRAS DE NAVANTIA S": ["NAVANTIA S A S M E", "NAVANTIA"],
+    "HOSPITAL UNIVERSITARIO DE FUENLABRADA": ["HOSPITAL UNIVERSITARIO DE FUENLABRADA"],
+    "DIRECCION GENERAL DE RACIONALIZACION Y C": ["DIRECCION GENERAL DE RACIONALIZACION Y C", "JUNTA DE CONTRATACION CENTRALIZADA"],
+}

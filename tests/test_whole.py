@@ -5,7 +5,8 @@ from itertools import combinations
 
 import duckdb
 
-from contrata.plans import registry
+from contrata.functions import fixed
+from contrata.plans import driver, registry
 
 from .conftest import DATA
 
@@ -34,3 +35,8 @@ def test_shared_tokens_of_all_parts(spark):
             wanted.append((a, b, shared))
     got = registry.queries()["j10_shared_tokens_all"](spark, DATA).collect()
     assert sorted(tuple(r) for r in got) == wanted and {k % 4 for k, _, _ in wanted} == {0, 1, 2, 3}
+
+
+def test_matching_runs_all_nine_strategies(spark):
+    got = driver.q5(spark, DATA).toPandas()
+    assert len(fixed.ALIASES) == 16 and got.left_ord.is_unique and "E3b" in set(got.strategy)
