@@ -7,6 +7,7 @@ import re
 import textwrap
 import zlib
 from pathlib import Path
+from urllib.parse import quote, quote_from_bytes
 
 import pytest
 
@@ -65,8 +66,69 @@ PLANTED = {
 @pytest.mark.parametrize("name", PLANTED)
 def test_every_decoded_layer_is_scanned_whole(name):
     text = f"before\n\n{PLANTED[name]}\n\nafter"
-    base, found, cut = secret_scan.scan(text)
-    assert not cut and any(k == 1 and 8 <= a < b <= len(text) - 5 for a, b, k in found)
+    base, found = secret_scan.scan(text)
+    assert any(k == 1 and 8 <= a < b <= len(text) - 5 for a, b, k in found)
+
+
+def quoted(data):
+    return "".join(f"%{b:02x}" for b in data)
+
+
+ENCODERS = {
+    "percent": lambda t: quoted(t.encode()),
+    "url form": lambda t: quote(t, safe=""),
+    "unicode": lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+    "bytes": lambda t: "".join(f"\\x{ord(c):02x}" for c in t),
+    "entities": lambda t: "".join(f"&#{ord(c)};" if i % 2 else f"&#x{ord(c):x};" for i, c in enumerate(t)),
+    "base64": lambda t: b64(t.encode()),
+    "hexadecimal": lambda t: t.encode().hex(),
+    "gzip, base64": lambda t: b64(gzip.compress(t.encode())),
+    "zlib, url-safe base64": lambda t: base64.urlsafe_b64encode(zlib.compress(t.encode())).decode(),
+    "zlib, hexadecimal": lambda t: zlib.compress(t.encode()).hex().upper(),
+    "zlib, percent": lambda t: quoted(zlib.compress(t.encode())),
+    "zlib, url form": lambda t: quote_from_bytes(zlib.compress(t.encode()), safe="/"),
+    "zlib, escaped bytes": lambda t: "".join(f"\\x{b:02x}" for b in zlib.compress(t.encode())),
+}
+
+
+def test_nested_layers_are_unwrapped_to_the_last():
+    """Secrets under random stacks of encodings: the finding lies where the outermost region is."""
+    r = random.Random(11)
+    for name in [*ENCODERS] * 12:
+        region, stack = f"use {KEY} now", [name]
+        region = ENCODERS[name](region)
+        while len(stack) < r.randrange(1, 5) and len(region) < 20_000:
+            stack.append(r.choice([*ENCODERS]))
+            region = ENCODERS[stack[-1]](f"{r.choice(('', 'é ', 'some '))}{region} more" if stack[-1] not in ("bytes", "unicode", "entities") else region)
+        text = f"before é | {region} | after"
+        at = text.index(region)
+        found = secret_scan.scan(text)[1]
+        assert any(k == 1 and at <= a < b <= at + len(region) for a, b, k in found), stack
+
+
+def test_each_escape_has_its_own_place():
+    for escaped in (quoted(KEY.encode()), ENCODERS["unicode"](KEY), ENCODERS["entities"](KEY)):
+        text = f"é {quoted('é '.encode())}{escaped}%20%ff&#x110000;\\ud83d\\ude00 end"
+        found = secret_scan.scan(text)[1]
+        at = text.index(escaped)
+        assert (at, at + len(escaped), 1) in found, found
+
+
+def test_one_bad_escape_leaves_the_others():
+    text = ENCODERS["entities"](KEY)
+    for bad in ("&#x110000;", "&#9999999;"):
+        assert any(k == 1 for _, _, k in secret_scan.scan(f"{bad}{text}{bad}")[1])
+
+
+def test_streams_are_scanned_to_their_end(monkeypatch):
+    monkeypatch.setattr(secret_scan, "WINDOW", 4096)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 256)
+    filler = "".join(_R.choice("ghijklmnopqrstuvwxyz \n") for _ in range(50_000))
+    for place in (0, 4000, 4090, 8190, 30_000, 50_000):
+        packed = b64(gzip.compress((filler[:place] + f" {KEY} " + filler[place:]).encode()))
+        assert [k for _, _, k in secret_scan.scan(packed)[1]] == [1]
+    packed = gzip.compress(gzip.compress(b"\0" * 20_000_000) + KEY.encode())
+    assert [k for _, _, k in secret_scan.scan(b64(packed))[1]] == [1]
 
 
 def test_prose_has_no_decoded_findings():
