@@ -1,16 +1,18 @@
 """Line dedup by overlapping three-line windows, with DataFrame functions alone.
 
 Each document's consecutive lines (split at \\n) are hashed three at a time. A window that occurs more than once stays
-at its first occurrence, the one with the smallest (doc_id, line); the lines that its later occurrences cover are
-removed, overlapping ones merged. Each removed line so has an earlier equal line that stays.
+at its first occurrence, the one with the smallest (doc_id, hash of the text, line); the lines that its later occurrences
+cover are removed, overlapping ones merged. Each removed line so has an earlier equal line that stays.
 
 Plan: windows become rows of two hashes and a place, counted with map-side partial aggregation, and only windows that
-repeat meet their group's first place again; a hot window is a large group of narrow rows, joined to one row. Places
-return to their own document only.
-
-Cases: fewer than three lines, an empty or null text: nothing is removed (null text: empty). A window of blank lines is
-never a repetition. Rows that share a doc_id: the same place, so neither is later than the other; what one has to
-remove both do. Null doc_id: windows are seen, as the earliest, and nothing is removed. Empty table: no rows.
+repeat meet their group's first place again. Windows that more than one in common.MOST_HOT rows have get that place from
+a broadcast of at most so many rows, so no task has a hot window's rows to itself. Places return to their own row only.
+
+Cases: fewer than three lines, an empty or null text: nothing is removed (null text: stays null). Very long text: as any
+other. A window of blank lines is never a repetition. Rows that share a doc_id but not their text are documents of their
+own; equal rows are at the same place, so neither is later than the other, and what one has to remove both do. Null
+doc_id: windows are seen, as the earliest, and nothing is removed. Extra columns, whatever their names, stay as they are,
+but `_n_lines` and `_n_kept` give way to those of the result. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -18,16 +20,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrata.llm import common
+
 WIDTH = 3
 
 
-def _lines(text: str) -> Column:
-    return F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n", -1)
+def _own(docs: DataFrame) -> DataFrame:
+    """doc_id, key (a hash of the text) and text of each row, and in `row` all its columns, where their names meet no others."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def _lines() -> Column:
+    return F.split("text", "\n", -1)
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, h1, h2) of every window that isn't blank."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lines("text").alias("lines")).where(F.size("lines") >= WIDTH)
+def _windows(own: DataFrame) -> DataFrame:
+    """(doc_id, key, place, h1, h2) of every window that isn't blank."""
+    lines = own.select("doc_id", "key", _lines().alias("lines")).where(F.size("lines") >= WIDTH)
     line = lambda i, k: F.get("lines", i + k)
 
     def window(i: Column) -> Column:
@@ -35,32 +45,48 @@ def _windows(docs: DataFrame) -> DataFrame:
         blank = F.length(F.trim(F.concat(*parts))) == 0
         return F.when(~blank, F.struct(i.alias("place"), F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *reversed(parts)).alias("h2")))
 
-    found = lines.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("lines") - WIDTH), window)).alias("w"))
-    return found.where("w is not null").select("doc_id", "w.*")
+    found = lines.select("doc_id", "key", F.explode(F.transform(F.sequence(F.lit(0), F.size("lines") - WIDTH), window)).alias("w"))
+    return found.where("w is not null").select("doc_id", "key", "w.*")
+
+
+def covered_places(own: DataFrame) -> DataFrame:
+    """(doc_id, key, places): the first lines of the windows to remove from each document that has any."""
+    windows, place = _windows(own), F.struct("doc_id", "key", "place")
+    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = common.Scratch(own.sparkSession).keep(first)
+    met = common.looked_up(windows, first, ["h1", "h2"], "first", "n")
+    later = met.where(F.col("doc_id").isNotNull() & (place > F.col("first")))
+    return later.groupBy("doc_id", "key").agg(F.collect_set("place").alias("places"))
+
+
+def _kept(docs: DataFrame) -> DataFrame:
+    """row, text (of the lines that stay; null if nothing is removed), n_lines and n_kept."""
+    own = _own(docs)
+    gone = covered_places(own).toDF("gone_id", "gone_key", "places")
+    joined = own.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left").withColumn("lines", _lines())
+    covered = F.flatten(F.transform("places", lambda p: F.array(*[p + k for k in range(WIDTH)])))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered)
+    text = F.when(F.col("places").isNotNull(), F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
+    n_kept = F.when(F.col("places").isNull(), F.size("lines")).otherwise(F.size(kept))
+    return joined.select("row", text.alias("text"), F.size("lines").cast("long").alias("n_lines"), n_kept.cast("long").alias("n_kept"))
 
 
-def covered_places(docs: DataFrame) -> DataFrame:
-    """(doc_id, places): the first lines of the windows to remove from each document that has any."""
-    windows = _windows(docs)
-    first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
-    later = windows.join(first, ["h1", "h2"]).where(F.col("doc_id").isNotNull() & (F.struct("doc_id", "place") > F.col("first")))
-    return later.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+def _field(c: str) -> Column:
+    return F.col("row")[c]
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """docs with all its columns and rows, its text without the covered lines, and beside these `_n_lines` and `_n_kept`."""
-    own, gone = "__own_lines", "__gone_places"
-    places = covered_places(docs).select(F.col("doc_id").alias("__gone_id"), F.col("places").alias(gone))
-    joined = docs.join(places, F.col("doc_id").cast("long") == F.col("__gone_id"), "left").withColumn(own, _lines("text"))
-    covered = F.flatten(F.transform(gone, lambda p: F.array(*[p + k for k in range(WIDTH)])))
-    # a row that shares its doc_id with a longer one may have fewer lines than places tell: what it hasn't got isn't missed
-    kept = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), covered)
-    text = F.when(F.col(gone).isNull(), F.col("text").cast("string")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(own, i)), "\n"))
-    n_kept = F.when(F.col(gone).isNull(), F.size(own)).otherwise(F.size(kept))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.size(own).cast("long").alias("_n_lines"), n_kept.cast("long").alias("_n_kept"))
-
-
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """docs, with n_chars (if there is one) set to the length of the text that is left."""
-    out = line_dedup(docs).select(docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+    counts = {"_n_lines": F.col("n_lines"), "_n_kept": F.col("n_kept")}
+    text = F.coalesce("text", _field("text").cast("string"))
+    return _kept(docs).select(*[(text if c == "text" else _field(c)).alias(c) for c in docs.columns if c not in counts], *[of.alias(c) for c, of in counts.items()])
+
+
+def deduplicated(docs: DataFrame, keep_emptied: bool = True) -> DataFrame:
+    """docs, with n_chars (if there is one) set to the length of the text that is left; without the rows that removing left with white space alone, if these aren't kept."""
+    kept = _kept(docs)
+    if not keep_emptied:
+        kept = kept.where(F.col("text").isNull() | F.col("text").rlike(r"\S"))
+    text = F.coalesce("text", _field("text").cast("string"))
+    n_chars = F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    return kept.select(*[(text if c == "text" else n_chars if c == "n_chars" else _field(c)).alias(c) for c in docs.columns])

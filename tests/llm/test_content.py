@@ -100,9 +100,23 @@ def test_quality_cases(spark, documents, nothing):
 
 @pytest.fixture(scope="module")
 def reference_tokenizer():
-    t = Tokenizer.from_file(queries.vocabulary())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.vocabulary())
+
+
+def test_special_tokens_are_the_librarys(reference_tokenizer):
+    text = "a <|endoftext|> b"
+    ids = lambda t: np.frombuffer(t.ids(text), "<u4").tolist()
+    assert ids(packing.tokenizer(queries.vocabulary())) == reference_tokenizer.encode(text, add_special_tokens=False).ids and 50256 in ids(packing.tokenizer(queries.vocabulary()))
+    plain = Tokenizer.from_file(queries.vocabulary())
+    plain.encode_special_tokens = True
+    assert ids(packing.tokenizer(queries.vocabulary(), True)) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_keeps_columns_of_any_name(spark):
+    names = ["_shard", "_rank", "_before", "rank", "shard", "row", "sequence_id", "n"]
+    pieces = spark.createDataFrame([(i, 0, 300 + i, *names) for i in range(20)] + [(3, 0, 303, *names)], "doc_id long, piece int, length int, " + ", ".join(f"{n} string" for n in names))
+    got = packing.pack(pieces)
+    assert got.columns == [*[c for c in pieces.columns if c != "sequence_id"], "sequence_id", "offset"] and got.count() == 21 and {r._shard for r in got.collect()} == {"_shard"}
 
 
 def test_tokenizer_equals_the_library(spark, reference_tokenizer):
@@ -290,6 +304,27 @@ def test_chat_layouts(spark):
     assert chat.canonical_turns(both, chat.registry()[chat.fingerprint(chat.field_paths(both))]) == [("system", "s"), ("user", "q"), ("user", "more"), ("assistant", "a")]
 
 
+def test_chat_layouts_with_other_fields(spark):
+    deep = {"prompt": "q", "response": "a"}
+    for _ in range(3000):
+        deep = {"x": [deep]}
+    turn = lambda role, said, **more: {"role": role, "content": said, **more}
+    records = [
+        {"messages": [turn("user", "q", weight=1), turn("assistant", "a", name=None)], "id": 7, "meta": {"source": "x", "tags": []}},
+        {"prompt": "q", "response": "a", "score": 0.5, "lang": "en"},
+        {"conversations": [{"from": "human", "value": "q", "loss": False}, {"from": "gpt", "value": "a"}], "model": "m"},
+        {"messages": [], "id": 3},
+    ]
+    odd = [{"messages": "text"}, {"messages": ["text"]}, {"messages": [["text"]]}, {"messages": [turn("user", "q")], "prompt": "q", "response": "a"}, {"messages": [turn("user", [{"text": "q"}])]}, deep, [], "x", 1, {}]
+    rows = [(i, json.dumps(r) if r is not deep else '{"x":[' * 3000 + "1" + "]}" * 3000) for i, r in enumerate([*records, *odd])] + [(99, "[" * 1_000_000)]
+    out = {r.conv_id: r for r in chat.format_records(spark.createDataFrame(rows, "conv_id long, record string")).collect()}
+    for i in range(3):
+        assert chat.read_back(out[i].formatted) == [("user", "q"), ("assistant", "a")]
+    assert out[3].layout == "messages" and out[3].formatted == ""
+    assert all(out[len(records) + k].layout is None for k in range(len(odd))) and out[99].fingerprint == "invalid"
+    assert len({out[i].fingerprint for i in range(4)}) == 4
+
+
 def brute_base(text):
     """The patterns as they are stated, failing matches dropped afterwards."""
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 12]
@@ -382,6 +417,84 @@ def test_templates_and_purity(spark):
     assert urltree.url_verdicts(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame(labels, "page_id long, good int"), []).count() == 0
 
 
+def brute_templates(pages, labels):
+    """Templates, merges and purity of (page_id, url) in one loop a step: levels from the top, then branches from the bottom."""
+    variable = re.compile(urltree._VARIABLE)
+    paths, where = defaultdict(lambda: [0, 0.0, 0.0]), {}
+    for i, url in pages:
+        host, path, _ = brute_rule(url, [])
+        key = []
+        for s in filter(None, path.split("/")):
+            end = re.search(r"(\.[a-z]{1,5})$", s.lower())
+            key.append("*" + (end[1] if end else "") if variable.search(s.lower()) else s)
+        where[i] = host, tuple(key)
+        of = paths[host, tuple(key)]
+        of[0] += 1
+        if i in labels:
+            of[1] += labels[i]
+            of[2] += 1
+    now = {k: k[1] for k in paths}
+    deepest = max(map(len, now.values()), default=0)
+    for d in range(deepest):
+        children = defaultdict(lambda: defaultdict(int))
+        for (host, key), s in now.items():
+            if len(s) > d:
+                children[host, s[:d]][s[d]] += paths[host, key][0]
+        wide = {p for p, c in children.items() if len(c) > urltree.CHILDREN and sum(c.values()) < urltree.PAGES_A_CHILD * len(c)}
+        now = {(host, key): (*s[:d], "*", *s[d + 1 :]) if len(s) > d and (host, s[:d]) in wide else s for (host, key), s in now.items()}
+
+    def sums(of):
+        out = defaultdict(lambda: [0.0, 0.0])
+        for (host, key), s in now.items():
+            if (group := of(host, s)) is not None:
+                out[group][0] += paths[host, key][1]
+                out[group][1] += paths[host, key][2]
+        return out
+
+    for d in reversed(range(deepest)):
+        open_ = lambda s: len(s) > d and not s[d].startswith("*")  # noqa: B023, E731
+        pooled = lambda s: (*s[:d], "+", *s[d + 1 :])  # noqa: B023, E731
+        branches, pools = sums(lambda h, s: (h, s) if open_(s) else None), sums(lambda h, s: (h, pooled(s)) if open_(s) else None)
+        n = Counter((h, pooled(s)) for h, s in branches)
+        merged = set()
+        for (h, s), (good, labelled) in branches.items():
+            if n[h, pooled(s)] > 1:
+                all_good, all_labelled = pools[h, pooled(s)]
+                p = all_good / all_labelled if all_labelled else 0
+                if not labelled or abs(good / labelled - p) <= urltree.Z * math.sqrt(p * (1 - p) / labelled):
+                    merged.add((h, s))
+        now = {k: pooled(s) if (k[0], s) in merged else s for k, s in now.items()}
+    total = sums(lambda h, s: 0)[0]
+    share = total[0] / total[1] if total[1] else 1.0
+    hosts, of = sums(lambda h, s: h), sums(lambda h, s: (h, s))
+    out = {}
+    for i, (host, key) in where.items():
+        s = now[host, key]
+        of_host = (hosts[host][0] + urltree.SMOOTHING * share) / (hosts[host][1] + urltree.SMOOTHING)
+        out[i] = "/" + "/".join(s), (of[host, s][0] + urltree.SMOOTHING * of_host) / (of[host, s][1] + urltree.SMOOTHING)
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    r = random.Random(8)
+    pages = []
+    for i in range(1500):
+        host = r.choice(("a.example", "b.example", "c.example"))
+        depth = r.choice((0, 1, 2, 3, 12)) if host != "c.example" else 1
+        parts = [r.choice(("en", "de", "blog", "x.html", str(r.randrange(9999)))) for _ in range(depth)]
+        pages.append((i, f"http://{host}/{'/'.join(parts)}" if host != "c.example" else f"http://{host}/{''.join(r.choice('abcdefgh') for _ in range(4))}/{r.choice(('ok', 'bad'))}"))
+    pages += [(2000 + i, "http://deep.example/a/b/c/d/e/f/g/" + ("x/y" if i % 2 else "q/r") + "/z" * 300) for i in range(40)]
+    labels = {i: int("bad" not in url and "/x/y" not in url and r.random() < 0.9) for i, url in pages if r.random() < 0.5}
+    got = urltree.url_verdicts(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame([*labels.items()], "page_id long, good int"), []).collect()
+    wanted = brute_templates(pages, labels)
+    assert len(got) == len(pages)
+    for row in got:
+        assert row.template == wanted[row.page_id][0] and row.purity == pytest.approx(wanted[row.page_id][1]), row
+        assert row.verdict == ("block" if row.purity < urltree.LEAST_PURITY else "allow")
+    deep = {row.page_id: row.verdict for row in got if row.page_id >= 2000}
+    assert {deep[2000 + i] for i in range(0, 40, 2)} == {"allow"} and {deep[2001 + i] for i in range(0, 40, 2)} == {"block"}
+
+
 def test_pipeline_equals_brute_force(spark):
     import corpus_pipeline
 
@@ -391,7 +504,8 @@ def test_pipeline_equals_brute_force(spark):
 
     kept = {r.doc_id for r in kneser.quality(docs, labels).collect() if r.kept}
     rows = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in kept]
-    rows = [(i, t) for i, t, _, _ in brute_lines(rows)]
+    before = dict(rows)
+    rows = [(i, t) for i, t, _, _ in brute_lines(rows) if t == before[i] or t.strip()]
     stays = {i for i, _, _, keep in brute_components(rows) if keep}
     items = [set_of(r.text) for r in common.table(spark, DATA, "benchmark").collect()]
     clean = {i for i, t in rows if i in stays and not any(q and 100 * len(q & set_of(t)) >= 75 * len(q) for q in items)}

@@ -117,43 +117,69 @@ def test_sketches_of_sets_never_leave_out_a_similar_pair():
 
 
 def brute_lines(rows):
-    seen = {}
-    for i, t in sorted(((i, t) for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+    """Windows as they are stated; rows with one doc_id go by their text's hash, which the caller's rows mustn't depend on."""
+    seen, texts = {}, defaultdict(set)
+    for i, t in rows:
+        texts[i].add(t or "")
+    place = lambda i, t: (i is not None, i or 0, t or "")
+    for i, t in rows:
         own = (t or "").split("\n")
         for p in range(len(own) - 2):
             w = tuple(own[p : p + 3])
             if "".join(w).strip(" "):
-                seen[w] = min(seen.get(w, ((2,),)), ((i is not None, i or 0), p))
+                seen[w] = min(seen.get(w, ((2,),)), (place(i, t), p))
     gone = defaultdict(set)
     for i, t in rows:
         own = (t or "").split("\n")
         for p in range(len(own) - 2):
             w = tuple(own[p : p + 3])
-            if i is not None and "".join(w).strip(" ") and ((True, i), p) > seen[w]:
-                gone[i] |= {p, p + 1, p + 2}
+            if i is not None and "".join(w).strip(" ") and (place(i, t), p) > seen[w]:
+                gone[i, t or ""] |= {p, p + 1, p + 2}
     out = []
     for i, t in rows:
         own = (t or "").split("\n")
-        kept = [x for p, x in enumerate(own) if p not in gone.get(i, ())]
-        out.append((i, t if i not in gone else "\n".join(kept), len(own), len(kept)))
+        kept = [x for p, x in enumerate(own) if p not in gone.get((i, t or ""), ())]
+        out.append((i, t if (i, t or "") not in gone else "\n".join(kept), len(own), len(kept)))
     return out
 
 
 def test_line_dedup_equals_brute_force(spark, documents, nothing):
     extra = [(500, "a\na\na\na\na\na"), (501, "\n\n\n\n"), (502, "x\na\na\na\ny"), (503, "p\nq\nr\ns"), (504, "q\nr\ns\nt\nu\nv"), (505, "s\nt\nu\nv\nq\nr\ns"), (506, "\n\n\n\n")]
+    # rows that share a doc_id: what one loses the other keeps
+    extra += [(507, "p\nq\nr\nz"), (507, "own one\nown two\nown three\nown four"), (508, "a\nk"), (508, "a\nk")]
     rows = corpus() + extra
-    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, places string")
+    clash = ("places", "_n_lines", "_n_kept", "__gone_id", "gone_id", "key", "row", "lines", "n", "first", "h1", "__small_value")
+    docs = spark.createDataFrame([(i, t, *clash) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
     out = lines.line_dedup(docs)
-    assert out.columns == ["doc_id", "text", "places", "_n_lines", "_n_kept"]
+    assert out.columns == ["doc_id", "text", *[c for c in clash if not c.startswith("_n_")], "_n_lines", "_n_kept"]
     got = [(r.doc_id, r.text, r._n_lines, r._n_kept) for r in out.collect()]
     assert sorted(map(str, got)) == sorted(map(str, brute_lines(rows)))
-    assert lines.deduplicated(nothing).count() == 0
+    assert {r["__gone_id"] for r in out.select("__gone_id").collect()} == {"__gone_id"}
+    assert lines.deduplicated(docs).columns == docs.columns and {r._n_lines for r in lines.deduplicated(docs).collect()} == {"_n_lines"}
+    assert lines.deduplicated(nothing).count() == lines.deduplicated(nothing, keep_emptied=False).count() == 0
     assert lines.deduplicated(documents).columns == documents.columns
+    emptied = sum(1 for (_, t), (_, after, *_) in zip(rows, brute_lines(rows), strict=True) if after != t and not after.strip())
+    assert emptied and lines.deduplicated(docs, keep_emptied=False).count() == len(rows) - emptied
+
+
+@pytest.mark.parametrize("most", [2, 1000])
+def test_hot_keys_are_looked_up_like_others(spark, monkeypatch, most):
+    """One key has half of the rows, one has no value, and some are null."""
+    monkeypatch.setattr(common, "MOST_HOT", most)
+    rows = [(i, 0 if i % 2 else i % 7, f"s{i % 3}" if i % 5 else None) for i in range(500)]
+    big = spark.createDataFrame([(i, k if i % 11 else None, s) for i, k, s in rows], "i long, k long, s string")
+    small = spark.createDataFrame([(0, "s1", "v01"), (0, "s2", "v02"), (3, "s0", "v30"), (9, "s0", "x")], "k long, s string, v string")
+    known = {(r.k, r.s): r.v for r in small.collect()}
+    wanted = sorted((i, known.get((k if i % 11 else None, s))) for i, k, s in rows)
+    assert sorted((r.i, r.v) for r in common.looked_up(big, small, ["k", "s"], "v").select("i", "v").collect()) == wanted
+    texts = spark.createDataFrame([(0, "zero"), (0, "again"), (3, "three")], "k long, text string")
+    met = common.met(big.select("i", "k"), texts, "k", common.copies_of_hot(big, "k"))
+    assert sorted((r.i, r.text) for r in met.collect()) == sorted((i, t) for i, k, _ in rows if i % 11 for j, t in ((0, "zero"), (0, "again"), (3, "three")) if j == k)
 
 
 def items():
     long = prose(77, 20_000).split()
-    return [(0, " ".join(long[500:540])), (1, " ".join(long[900:980])), (1, prose(6, 30)), (2, "one two"), (3, ""), (4, None), (None, " ".join(long[40:90])), (5, "nowhere to be found in any of these texts at all"), (6, prose(999, 60).upper())]
+    return [(0, " ".join(long[500:540])), (1, " ".join(long[900:980])), (1, prose(6, 30)), (2, "one two"), (3, ""), (4, None), (None, " ".join(long[40:90])), (5, "nowhere to be found in any of these texts at all"), (6, prose(999, 60).upper()), (7, "ONE"), (8, " ".join(long[70:73])), (9, " ".join(long[:4])), (10, "one three")]
 
 
 @pytest.mark.parametrize("block", [4 << 20, 100])
@@ -161,18 +187,18 @@ def test_contamination_equals_brute_force(spark, documents, nothing, monkeypatch
     monkeypatch.setattr(contamination, "BLOCK_SHINGLES", block)
     benchmark = spark.createDataFrame([(i, t, 9) for i, t in items()], "item_id long, text string, doc_id int")
     got = sorted(str(tuple(r)) for r in contamination.contained_items(documents, benchmark).collect())
-    wanted = []
+    wanted, hit = [], set()
     for i, t in corpus():
-        own = set_of(t)
         for j, q in items():
-            q = set_of(q)
+            width = min(5, len(words_of(q)))
+            q, own = set_of(q), set_of(t, width) if width else set()
             if q and 100 * len(own & q) >= 75 * len(q):
                 wanted.append((i, j, len(q), len(own & q)))
+                hit.add((i, t))
     assert len(wanted) > 30 and got == sorted(map(str, wanted))
     clean = contamination.decontaminate(documents, benchmark)
     assert clean.columns == documents.columns
-    hit = {w[0] for w in wanted if w[0] is not None}
-    assert sorted(r.doc_id for r in clean.collect() if r.doc_id is not None) == sorted(i for i, _ in corpus() if i is not None and i not in hit)
+    assert sorted(str((r.doc_id, r.text)) for r in clean.collect()) == sorted(str(row) for row in corpus() if row not in hit)
     assert contamination.contained_items(nothing, benchmark).count() == 0
     assert contamination.contained_items(documents, benchmark.limit(0)).count() == 0
     assert contamination.decontaminate(documents, benchmark.limit(0)).count() == documents.count()
