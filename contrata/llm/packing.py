@@ -9,8 +9,11 @@ tightly, if there are such. A bin's content stays the same until one of its leng
 Pieces then take the places that the plan has for their length, by their rank within it. Ranks are counted in shards of
 doc_id and offset by the shards before, so that a length which a third of all pieces have is no single task's work.
 
-Cases: null or empty text: the end token alone. Rows that share a doc_id: each row is a document; equal rows are told
-apart by their rank. Null doc_id: packed as well. Empty table: no rows.
+Cases: null or empty text: the end token alone. Very long text: cut into as many pieces as it takes. Rows that share a
+doc_id: each row is a document; equal rows are told apart by their rank. Null doc_id: packed as well. Extra columns of
+documents are left out, those of pieces stay, whatever their names, but for `sequence_id` and `offset`, which give way to
+those of the result. Strings of special tokens in a text have those tokens' ids, as the library does by itself, or are
+ordinary text if asked for. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -57,40 +60,42 @@ class _Words(dict):
 
 
 class Tokenizer:
-    """Ids of whole texts by the vocabulary file, special tokens' strings being ordinary text.
+    """Ids of whole texts by the vocabulary file, those of special tokens for their strings unless these are ordinary text.
 
     The file's merges order its vocabulary, so a rank-based encoder built from the same file gives the same ids for a
     word; the words are cut by the byte-level pattern.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         import json
 
         import tiktoken
         import tokenizers
 
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        vocabulary, added = file["model"]["vocab"], [t["content"] for t in file["added_tokens"]]
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-        ranks = {bytes(shown[c] for c in word): i for word, i in vocabulary.items() if all(c in shown for c in word) and not word.startswith("<|")}
+        ranks = {bytes(shown[c] for c in word): i for word, i in vocabulary.items() if all(c in shown for c in word) and word not in added}
         self.plain = tokenizers.Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.plain.encode_special_tokens = special_as_text
+        self.special = () if special_as_text else added
         self.words = _Words(tiktoken.Encoding("words", pat_str=r"\s+|\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece)
 
     def ids(self, text: str) -> bytes:
-        if _OTHER.search(text):
+        if _OTHER.search(text) or any(s in text for s in self.special):
             return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(self.words.__getitem__, _CUT.findall(text)))
 
 
-_tokenizers: dict[str, Tokenizer] = {}
+_tokenizers: dict[tuple[str, bool], Tokenizer] = {}
 
 
-def tokenizer(path: str) -> Tokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer(path)
-    return _tokenizers[path]
+def tokenizer(path: str, special_as_text: bool = False) -> Tokenizer:
+    if (path, special_as_text) not in _tokenizers:
+        _tokenizers[path, special_as_text] = Tokenizer(path, special_as_text)
+    return _tokenizers[path, special_as_text]
 
 
 def _is_plain(c: str) -> bool:
@@ -98,13 +103,13 @@ def _is_plain(c: str) -> bool:
     return (unicodedata.category(c)[0] == "L") == bool(re.match(r"[^\W\d_]", c)) and (unicodedata.category(c)[0] == "N") == bool(re.match(r"\d", c))
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, with_ids: bool = False, special_as_text: bool = False) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32 (and its ids, if asked for)."""
     common.small_batches(docs.sparkSession)
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        encode, size = tokenizer(vocabulary).ids, 4 * SEQUENCE
+        encode, size = tokenizer(vocabulary, special_as_text).ids, 4 * SEQUENCE
         rows, piece, start, length, crc, ids = [], [], [], [], [], []
         end = np.array([END], dtype="<u4").tobytes()
         for row, text in enumerate(batch.column("text").to_pylist()):
@@ -218,15 +223,17 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `size` rows
     places = spark.sparkContext.broadcast(_places(plan(counts, size)))
     shards = max(1, -(-sum(counts.values()) // SHARD_ROWS))
-    sharded = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int"))
-    before = sharded.groupBy("length", "_shard").agg(F.count("*").alias("n"))
-    before = before.select("length", "_shard", (F.sum("n").over(Window.partitionBy("length").orderBy("_shard")) - F.col("n")).alias("_before"))
-    ranked = sharded.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_shard").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(before, ["length", "_shard"]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", "_shard")
+    # a piece's own columns travel in one, where their names meet no others
+    own = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    sharded = pieces.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), "doc_id", "piece", "length", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int").alias("shard"))
+    before = sharded.groupBy("length", "shard").agg(F.count("*").alias("n"))
+    before = before.select("length", "shard", (F.sum("n").over(Window.partitionBy("length").orderBy("shard")) - F.col("n")).alias("before"))
+    ranked = sharded.withColumn("rank", F.row_number().over(Window.partitionBy("length", "shard").orderBy("doc_id", "piece")) - 1)
+    ranked = ranked.join(before, ["length", "shard"]).select("row", "length", (F.col("rank") + F.col("before")).alias("rank"))
 
     def assign(batch: pa.RecordBatch) -> pa.RecordBatch:
         lengths = batch.column("length").to_numpy()
-        ranks = batch.column("_rank").to_numpy()
+        ranks = batch.column("rank").to_numpy()
         sequence, offset = np.zeros(len(ranks), np.int64), np.zeros(len(ranks), np.int64)
         for length in np.unique(lengths):
             own = np.flatnonzero(lengths == length)
@@ -234,15 +241,13 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
             i = np.searchsorted(starts, ranks[own], "right") - 1
             sequence[own] = numbers[i] + ranks[own] - starts[i]
             offset[own] = offsets[i]
-        columns = {name: batch.column(name) for name in batch.schema.names if name != "_rank"}
-        return pa.RecordBatch.from_pydict({**columns, "sequence_id": pa.array(sequence), "offset": pa.array(offset)})
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sequence), pa.array(offset)], names=["row", "sequence_id", "offset"])
 
-    kept = ranked.drop("_rank").schema
-    schema = kept.add("sequence_id", "long").add("offset", "long")
-    return common.mapped(ranked, assign, schema)
+    schema = ranked.select("row").schema.add("sequence_id", "long").add("offset", "long")
+    return common.mapped(ranked, assign, schema).select("row.*", "sequence_id", "offset")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False, special_as_text: bool = False) -> DataFrame:
     """Tokenizes, cuts and packs docs: the columns of token_pieces, with sequence_id and offset."""
     scratch = common.Scratch(docs.sparkSession)
-    return pack(scratch.keep(token_pieces(docs, vocabulary, with_ids)))
+    return pack(scratch.keep(token_pieces(docs, vocabulary, with_ids, special_as_text)))
