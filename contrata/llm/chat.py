@@ -1,17 +1,20 @@
 """Chat formatting by schema fingerprints.
 
 Records are JSON objects of any layout. A record's fingerprint is the hash of its sorted nested field paths (array
-elements as []); paths that a mapping calls optional don't count. The fingerprint selects a declarative mapping, which
-says where the turns are; no code is written per layout. A record whose fingerprint no mapping has gets no turns and is
-reported by its fingerprint, so that a mapping can be added.
+elements as []). It selects a declarative mapping, which says where the turns are; no code is written per layout. Fields
+that no mapping speaks of (ids, weights, scores) tell nothing about the layout: a record whose own fingerprint no mapping
+has is looked up by that of the paths that some mapping declares. One that isn't found by that either gets no turns and
+is reported by its fingerprint, so that a mapping can be added.
 
 Canonical turns are rendered by a template that marks each turn with control strings. Inside texts and roles every `<`,
 followed by any number of backslashes and `|`, gets one backslash more, so that no control string can be forged; reading
 takes it away again. The mask of the loss is the spans of the assistants' texts in the rendered string.
 
 Cases: null or empty text: an empty turn. Null role: an empty one. Turns are in the order of their number, then role,
-then text, nulls first; repeated rows are repeated turns. A null conv_id is a conversation of its own. Empty table: only
-what the query adds. Invalid JSON: no turns, fingerprint `invalid`.
+then text, nulls first; repeated rows are repeated turns. A null conv_id is a conversation of its own. An empty list of
+turns: no turns, in the layout that the list belongs to. An element that isn't an object: no mapping. Very long texts: as
+any other. Extra columns, whatever their names: left out. Empty table: only what the query adds. Invalid JSON, and JSON
+nested deeper than its parser goes: no turns, fingerprint `invalid`.
 """
 
 from __future__ import annotations
@@ -56,13 +59,22 @@ MAPPINGS: tuple[Mapping, ...] = (
 )
 
 
-def field_paths(value, at: str = "") -> set[str]:
-    """The paths of all leaves; an empty list or object is a leaf."""
-    if isinstance(value, dict) and value:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()))
-    if isinstance(value, list) and value:
-        return set().union(*(field_paths(v, f"{at}[]") for v in value))
-    return {at}
+def field_paths(value) -> set[str]:
+    """The paths of all leaves; an empty list or object is a leaf that says so. Nesting costs no stack."""
+    out, work = set(), [("", value)]
+    while work:
+        at, value = work.pop()
+        if isinstance(value, dict):
+            work += [(f"{at}.{k}" if at else k, v) for k, v in value.items()]
+            if not value:
+                out.add(f"{at}{{}}")
+        elif isinstance(value, list):
+            work += [(f"{at}[]", v) for v in value]
+            if not value:
+                out.add(f"{at}[] none")
+        else:
+            out.add(at)
+    return out
 
 
 def fingerprint(paths) -> str:
@@ -70,15 +82,32 @@ def fingerprint(paths) -> str:
 
 
 def registry(mappings=MAPPINGS) -> dict[str, Mapping]:
-    """Mappings by the fingerprints of their layouts, one for each choice of optional fields."""
+    """Mappings by the fingerprints of their layouts: one for each choice of optional fields, and for an empty list of turns."""
     out = {}
     for m in mappings:
         for chosen in range(1 << len(m.optional)):
             paths = [*m.paths, *(o for k, o in enumerate(m.optional) if chosen >> k & 1)]
             out.setdefault(fingerprint(paths), m)
+        if m.list_at:
+            out.setdefault(fingerprint([f"{m.list_at}[] none"]), m)
     return out
 
 
+def declared(mappings=MAPPINGS) -> set[str]:
+    """The paths that tell of a layout: those of the mappings, and whatever stands where a list of turns, an element or a field of it should."""
+    out = set()
+    for m in mappings:
+        out |= {*m.paths, *m.optional}
+        if m.list_at:
+            out |= {m.list_at, f"{m.list_at}{{}}", f"{m.list_at}[]", f"{m.list_at}[] none", f"{m.list_at}[]{{}}", f"{m.list_at}[][] none"}
+    return out
+
+
+def mapping_of(paths: set[str], known: dict[str, Mapping], of_layout: set[str]) -> Mapping | None:
+    found = known.get(fingerprint(paths)) or known.get(fingerprint(paths & of_layout))
+    return found if found and not any(p.startswith(f"{found.list_at}[][]") for p in paths) else None
+
+
 def _at(record, path: str):
     for name in path.split("."):
         record = record.get(name) if isinstance(record, dict) else None
@@ -137,17 +166,17 @@ SCHEMA = "conv_id long, fingerprint string, layout string, formatted string, los
 def format_records(records: DataFrame, mappings=MAPPINGS) -> DataFrame:
     """Per row of records (conv_id, record: JSON): its fingerprint, the layout's name (null: no mapping), the formatted string and the spans of the loss."""
     common.small_batches(records.sparkSession)
-    known = registry(mappings)
+    known, of_layout = registry(mappings), declared(mappings)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         prints, layouts, formatted, spans = [], [], [], []
         for text in batch.column("record").to_pylist():
             try:
                 record = json.loads(text)
-                mark = fingerprint(field_paths(record))
-            except (TypeError, ValueError):
-                record, mark = None, "invalid"
-            mapping = known.get(mark)
+                paths = field_paths(record)
+                mark, mapping = fingerprint(paths), mapping_of(paths, known, of_layout)
+            except (TypeError, ValueError, RecursionError):
+                record, mark, mapping = None, "invalid", None
             out, own = render(canonical_turns(record, mapping)) if mapping else (None, [])
             prints.append(mark)
             layouts.append(mapping.name if mapping else None)
