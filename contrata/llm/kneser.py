@@ -1,12 +1,18 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of trusted text.
 
-The model predicts characters from the ORDER - 1 before them. All trusted documents but one in HELD_OUT are counted:
-each task counts the grams of its own texts, and the counts of all orders, their contexts' totals, discounts and
-interpolation weights follow by aggregations and joins of count tables, which Spark deals out by gram or context.
+The model predicts characters from the ORDER - 1 before them. One pass over all documents counts their grams, and apart
+from that those of trusted text (all trusted documents but one in HELD_OUT): each task adds up the counts of its own texts
+before they are shuffled. The counts of lower orders, their contexts' totals, discounts and interpolation weights follow
+by aggregations and joins of count tables, which Spark deals out by gram or context.
 
-Scoring reads every document whole. The model goes out in shards of at most SHARD_ROWS rows, dealt by the two characters
-before the predicted one, so each character is scored in one shard and a document's log probabilities add up over
-shards; a model that outgrows one shard takes more passes instead of more memory.
+Scoring is a join of counts: every gram of the corpus gets its log probability once, by joins of the count tables from
+the highest order down, and a document's log probability is the sum over its grams. Grams are unevenly common, so the
+HOT_GRAMS most common ones, a broadcast of fixed size, are added up where the document is read; a document's other grams
+and their numbers are joined with the probabilities by gram. None of those is common enough to make a task larger than
+others. The plan is the same at all sizes, and the model never comes together in one place.
+
+A document is trusted if its id is labelled so. Texts don't move to be told: a Bloom filter of fixed size goes to them,
+and the counts of the documents that it lets through wrongly, which a join of ids finds, are taken off again.
 
 A document is rejected if its perplexity lies outside the quantiles LOW and HIGH of trusted documents of its language,
 widened by the factor SLACK. Short texts vary more, so quantiles are taken among documents whose lengths have the same
@@ -14,116 +20,46 @@ number of bits. A language with fewer than LEAST_TRUSTED held-out documents is s
 is wider the fewer there are; if none of its trusted documents is held out, its upper limit is at least that of all
 languages. Both tails go: symbols, capitals and tables are unlikely, text that repeats itself is either.
 
-Texts meet the trusted ids without a shuffle up to BROADCAST_IDS of these; beyond, Spark joins them by size as it does any
-two tables, and the same documents are counted.
-
-Cases: null or empty text: no perplexity, rejected. Null or unseen language: the quantiles of all languages. A document
-that is labelled twice is trusted if one label says so; labels for absent documents do nothing. No trusted text: all
-with text are kept. Repeated rows: a row each. Empty table: no rows.
+Cases: null or empty text: no perplexity, rejected. Very long text: taken in parts of bounded size. Null language: the
+quantiles of trusted documents without one, if there are such; else, and for a language that no trusted document has,
+those of all languages. A document that is labelled twice is trusted if one label says so; labels for absent documents do
+nothing. No trusted text: all with text are kept. Repeated rows and null doc_ids: a row each. Extra columns, whatever
+their names, do no harm. Empty table: no rows.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrata.llm import common
 from contrata.llm.shingles import mix
 
 ORDER = 5
-#: Rows of the model (about 12 bytes each, twice over in the lookup table) that are broadcast at a time.
-SHARD_ROWS = 3_000_000
+#: The corpus's most common grams, whose probabilities are broadcast (about 32 bytes each in the lookup table).
+HOT_GRAMS = 1 << 18
+#: Grams that a task holds before it passes them on (about 50 bytes each).
+HELD_GRAMS = 1 << 21
 LOW, HIGH, SLACK = 0.01, 0.99, 1.1
 #: A quantile of a length is taken over so many held-out documents at least, else it is that of all lengths; a language with fewer has a wider slack.
 LEAST_TRUSTED = 50
 #: One in so many trusted documents is held out of the counts: a model knows its own texts better than others of the same
 #: kind, so the upper quantile is that of trusted texts it hasn't seen (the lower one is that of all).
 HELD_OUT = 4
-#: So many trusted ids (about 60 bytes each in a hash table) are broadcast to the documents; more are joined by a shuffle of the texts.
-BROADCAST_IDS = 1 << 20
+#: Bits of the filter of trusted ids, and bits of each id in it.
+FILTER_BITS, FILTER_HASHES = 1 << 27, 5
 START = 2
 
 _FACTORS = mix(np.arange(11, 11 + ORDER, dtype=np.uint64)) | np.uint64(1)
 _CONTEXT = np.uint64(0x5851F42D4C957F2D)
 _PIECE = 1 << 20
-
-
-def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' code points, each after ORDER - 1 start signs, and the offsets of the texts. Digits are one sign, and so are white spaces."""
-    pad = chr(START) * (ORDER - 1)
-    joined = pad + pad.join(texts) if texts else ""
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    points[(points >= 48) & (points <= 57)] = 48
-    points[(points >= 9) & (points <= 13)] = 32
-    lengths = np.array([len(t) + ORDER - 1 for t in texts], dtype=np.int64)
-    return points, np.concatenate([[0], np.cumsum(lengths)])
-
-
-def gram_keys(points: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-    """Keys of the n signs that end at the places."""
-    total = np.full(len(ends), int(n) * int(_CONTEXT) & (1 << 64) - 1, dtype=np.uint64)
-    for j in range(n):
-        total += (points[ends - j] + np.uint64(1)) * _FACTORS[j]
-    return mix(total)
-
-
-def _count(batch: pa.RecordBatch):
-    """The grams of the highest order in a batch, with their counts."""
-    texts = batch.column("text").to_pylist()
-    i = 0
-    while i < len(texts):
-        j, size = i + 1, len(texts[i])
-        while j < len(texts) and size + len(texts[j]) <= _PIECE:
-            size += len(texts[j])
-            j += 1
-        points, offsets = symbols(texts[i:j])
-        i = j
-        scored = points != START
-        ends = np.flatnonzero(scored)
-        ends = ends[ends >= ORDER - 1]
-        if len(ends):
-            _, first, n = np.unique(gram_keys(points, ends, ORDER), return_index=True, return_counts=True)
-            at = ends[first]
-            grams = points[at[:, None] + np.arange(1 - ORDER, 1)[None, :]].astype(np.uint32)
-            text = grams.tobytes().decode("utf-32-le", "surrogatepass")
-            yield pa.RecordBatch.from_arrays([pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)]), pa.array(n)], names=["gram", "c"])
-
-
-def train(texts: DataFrame, scratch: common.Scratch) -> tuple[DataFrame, float]:
-    """(gram, kind, value): log probabilities of seen grams (kind 0) and log weights of contexts (kind 1), and the log probability of a sign that was never seen."""
-    counts = common.mapped(texts, _count, "gram string, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-    tables = {ORDER: scratch.keep(counts)}
-    for n in range(ORDER - 1, 0, -1):
-        tables[n] = scratch.keep(tables[n + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("c")))
-    lower, parts, unseen = None, [], math.log(1e-6)
-    for n in range(1, ORDER + 1):
-        table = tables[n]
-        of = table.agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in range(1, 5)], F.count("*").alias("types")).first()
-        y = of.n1 / (of.n1 + 2 * of.n2) if of.n1 else 0.0
-        d = [min(max(k - (k + 1) * y * of[f"n{k + 1}"] / of[f"n{k}"], 0.1), k - 0.05) if of[f"n{k}"] else 0.5 for k in (1, 2, 3)]
-        discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        context = F.substring("gram", 1, n - 1) if n > 1 else F.lit("")
-        by_context = table.groupBy(context.alias("context")).agg(F.sum("c").alias("total"), F.sum(discount).alias("held"))
-        weights = by_context.select("context", "total", (F.col("held") / F.col("total")).alias("weight"))
-        own = table.select("gram", "c", context.alias("context"), F.expr("substring(gram, 2)").alias("shorter")).join(weights, "context")
-        mass = (F.col("c") - discount) / F.col("total")
-        if n == 1:
-            weight = (weights.first() or {"weight": 1.0})["weight"]
-            unseen = math.log(weight / (of.types + 1)) if of.types else unseen
-            probable = own.select("gram", (mass + F.col("weight") / (of.types + 1)).alias("p"))
-        else:
-            probable = own.join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("q")), "shorter").select("gram", (mass + F.col("weight") * F.col("q")).alias("p"))
-            parts.append(weights.select(F.col("context").alias("gram"), F.lit(1).alias("kind"), F.log("weight").alias("value")))
-        lower = scratch.keep(probable)
-        parts.append(lower.select("gram", F.lit(0).alias("kind"), F.log("p").alias("value")))
-    model = parts[0]
-    for part in parts[1:]:
-        model = model.unionByName(part)
-    return scratch.keep(model), unseen
+_FILTER = mix(np.arange(1, FILTER_HASHES + 1, dtype=np.uint64) << np.uint64(32))
 
 
 class Lookup:
@@ -132,7 +68,7 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         size = 1 << max(4, int(2 * max(len(keys), 1) - 1).bit_length())
         self.mask = np.uint64(size - 1)
-        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size, np.float32)
+        self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size)
         keys = np.where(keys == 0, np.uint64(1), keys)
         left, at = np.arange(len(keys)), keys & self.mask
         while len(left):
@@ -148,7 +84,7 @@ class Lookup:
         at = keys & self.mask
         there = self.keys[at]
         found = there == keys
-        out = np.where(found, self.values[at], np.float32(0))
+        out = np.where(found, self.values[at], 0.0)
         open_ = np.flatnonzero(~found & (there != 0))
         at = at[open_]
         while len(open_):
@@ -162,89 +98,259 @@ class Lookup:
         return out, found
 
 
-def _shard_of(before: np.ndarray, last: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(before * np.uint64(0x10001) + last) % np.uint64(shards)).astype(np.int32)
+def symbols(text: str) -> np.ndarray:
+    """Code points. Digits are one sign, and so are white spaces."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    points[(points >= 48) & (points <= 57)] = 48
+    points[(points >= 9) & (points <= 13)] = 32
+    return points
+
+
+def gram_keys(points: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the n signs that end at the places."""
+    total = np.full(len(ends), int(n) * int(_CONTEXT) & (1 << 64) - 1, dtype=np.uint64)
+    for j in range(n):
+        total += (points[ends - j] + np.uint64(1)) * _FACTORS[j]
+    return mix(total)
+
+
+def places(texts: list[str], piece: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Signs, the places in them that are predicted, and whose text each place is in; some `piece` signs at a time. A text begins after ORDER - 1 start signs, a longer one's parts after the signs before them."""
+    parts, owners, size = [], [], 0
+
+    def told():
+        points = symbols("".join(parts))
+        lengths = np.array([len(p) for p in parts])
+        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        ends = np.flatnonzero((np.arange(len(points)) - first >= ORDER - 1) & (points != START))
+        return points, ends, np.repeat(np.array(owners), lengths)[ends]
+
+    for owner, text in enumerate(texts):
+        for at in range(0, len(text), piece):
+            parts.append(text[at - ORDER + 1 : at + piece] if at else chr(START) * (ORDER - 1) + text[:piece])
+            owners.append(owner)
+            size += len(parts[-1])
+            if size >= piece:
+                yield told()
+                parts, owners, size = [], [], 0
+    if parts:
+        yield told()
+
+
+def _grams(points: np.ndarray, ends: np.ndarray) -> list[str]:
+    text = points[ends[:, None] + np.arange(1 - ORDER, 1)[None, :]].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+    return [text[k : k + ORDER] for k in range(0, len(text), ORDER)]
+
+
+class _Counts:
+    """Grams with their numbers in all texts and in trusted ones."""
+
+    def __init__(self):
+        self.parts: list[tuple] = []
+        self.size = 0
+
+    def add(self, points: np.ndarray, ends: np.ndarray, trusted: np.ndarray) -> None:
+        keys, first, of = np.unique(gram_keys(points, ends, ORDER), return_index=True, return_inverse=True)
+        signs = points[ends[first][:, None] + np.arange(1 - ORDER, 1)[None, :]].astype(np.uint32)
+        self.parts.append((keys, signs, np.bincount(of, minlength=len(keys)), np.bincount(of, trusted, len(keys)).astype(np.int64)))
+        self.size += len(keys)
+        if self.size > HELD_GRAMS:
+            self.merge()
+
+    def merge(self) -> None:
+        columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
+        keys, first, of = np.unique(columns[0], return_index=True, return_inverse=True)
+        self.parts = [(keys, columns[1][first], *(np.bincount(of, c, len(keys)).astype(np.int64) for c in columns[2:]))]
+        self.size = len(keys)
+
+    def told(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            self.merge()
+            _, signs, c, t = self.parts[0]
+            for i in range(0, len(c), 1 << 16):
+                text = signs[i : i + (1 << 16)].tobytes().decode("utf-32-le", "surrogatepass")
+                yield pa.RecordBatch.from_arrays([pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)]), pa.array(c[i : i + (1 << 16)]), pa.array(t[i : i + (1 << 16)])], names=["gram", "c", "t"])
+        self.__init__()
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """(gram, c, t): the grams of the highest order, with their numbers in all texts and in those whose `trusted` is true."""
+
+    def run(batches):
+        counts = _Counts()
+        for batch in batches:
+            trusted = np.array(batch.column("trusted").to_pylist(), dtype=np.float64)
+            for points, ends, owner in places(batch.column("text").to_pylist(), _PIECE):
+                if len(ends):
+                    counts.add(points, ends, trusted[owner])
+                if counts.size > HELD_GRAMS:
+                    yield from counts.told()
+        yield from counts.told()
+
+    return rows.select("text", "trusted").mapInArrow(run, "gram string, c long, t long").groupBy("gram").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+
+
+class Filter:
+    """A Bloom filter of ids."""
 
+    def __init__(self, bits: int):
+        self.words = np.zeros(bits // 64, np.uint64)
 
-def _keyed(shards: int):
-    """Rows of the model as (shard, key, value); shard -1: in every shard."""
+    def bits_of(self, ids: np.ndarray) -> np.ndarray:
+        """(ids, FILTER_HASHES): the bits of each id."""
+        return (mix(mix(ids.view(np.uint64))[:, None] + _FILTER[None, :]) % np.uint64(64 * len(self.words))).astype(np.int64)
+
+    def may_have(self, ids: pa.Array) -> np.ndarray:
+        bits = self.bits_of(ids.fill_null(0).to_numpy(zero_copy_only=False))
+        found = (self.words[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1)).all(axis=1)
+        return found & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
+def filter_of(ids: DataFrame) -> Filter:
+    """The filter of a column doc_id: tasks set their ids' bits, words of equal place are joined, and at most FILTER_BITS come to the driver."""
+    out = Filter(FILTER_BITS)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams, kind = batch.column("gram").to_pylist(), batch.column("kind").to_numpy()
-        shard, key = np.full(len(grams), -1, np.int32), np.zeros(len(grams), np.uint64)
-        sizes = np.array([len(g) for g in grams])
-        for n in np.unique(sizes):
-            own = np.flatnonzero(sizes == n)
-            points = np.frombuffer("".join(grams[i] for i in own).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-            key[own] = gram_keys(points, np.arange(n - 1, len(points), n), int(n))
-            ends = np.arange(n - 1, len(points), n)
-            if n >= 3:
-                shard[own] = np.where(kind[own] == 0, _shard_of(points[ends - 2], points[ends - 1], shards), shard[own])
-            if n >= 2:
-                shard[own] = np.where(kind[own] == 1, _shard_of(points[ends - 1], points[ends], shards), shard[own])
-        key = np.where(kind == 1, key ^ _CONTEXT, key)
-        return pa.RecordBatch.from_arrays([pa.array(shard), pa.array(key.view(np.int64)), batch.column("value").cast(pa.float32())], names=["shard", "key", "value"])
-
-    return run
-
-
-def log_probabilities(points: np.ndarray, ends: np.ndarray, table: Lookup, unseen: float) -> np.ndarray:
-    """Log probability of the sign at each place, given those before."""
-    out = np.zeros(len(ends), dtype=np.float64)
-    open_ = np.arange(len(ends))
-    for n in range(ORDER, 0, -1):
-        value, found = table.get(gram_keys(points, ends[open_], n))
-        out[open_] += value
-        open_ = open_[~found]
-        if not len(open_):
-            return out
-        if n > 1:
-            out[open_] += table.get(gram_keys(points, ends[open_] - 1, n - 1) ^ _CONTEXT)[0]
-    out[open_] += unseen
+        bits = np.unique(Filter(FILTER_BITS).bits_of(batch.column("doc_id").to_numpy()).ravel())
+        words, first = np.unique(bits >> 6, return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(np.bitwise_or.reduceat(np.uint64(1) << (bits & 63).astype(np.uint64), first).view(np.int64))], names=["word", "bits"])
+
+    told = common.mapped(ids.where("doc_id is not null"), run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # of fixed size
+    out.words[told["word"].to_numpy()] = told["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """(doc_id, lang, key, log_p, n) of each row of docs; key, a hash of the text, tells apart rows that share a doc_id."""
-    spark = docs.sparkSession
-    model, unseen = train(trusted, scratch)
-    rows = model.count()
-    shards = max(1, -(-rows // SHARD_ROWS))
-    keyed = scratch.keep(common.mapped(model, _keyed(shards), "shard int, key long, value float"))
-    scored = None
-    for s in range(shards):
-        part = keyed.where(F.col("shard").isin(s, -1)).select("key", "value").toArrow()  # bounded by SHARD_ROWS
-        table = spark.sparkContext.broadcast(Lookup(part["key"].to_numpy().view(np.uint64), part["value"].to_numpy()))
-
-        def score(batch: pa.RecordBatch, table=table, s=s):
-            texts = batch.column("text").to_pylist()
-            log_p, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            i = 0
-            while i < len(texts):
-                j, size = i + 1, len(texts[i])
-                while j < len(texts) and size + len(texts[j]) <= _PIECE:
-                    size += len(texts[j])
-                    j += 1
-                points, offsets = symbols(texts[i:j])
-                ends = np.flatnonzero(points != START) if size else np.zeros(0, np.int64)
-                # a text may hold the start sign itself; its first ORDER - 1 places are padding all the same
-                ends = ends[ends >= ORDER - 1]
-                if shards > 1 and len(ends):
-                    ends = ends[_shard_of(points[ends - 2], points[ends - 1], shards) == s]
-                if len(ends):
-                    value = log_probabilities(points, ends, table.value, unseen)
-                    owner = np.searchsorted(offsets, ends, "right") - 1
-                    log_p[i:j] = np.bincount(owner, value, j - i)
-                    n[i:j] = np.bincount(owner, minlength=j - i)
-                i = j
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), batch.column("key"), pa.array(log_p), pa.array(n)], names=["doc_id", "lang", "key", "log_p", "n"])
+def marked(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """rows (with doc_id) that the filter of ids may have, in a column of that name; nothing is shuffled."""
+    shared = rows.sparkSession.sparkContext.broadcast(filter_of(ids))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.may_have(batch.column("doc_id")))], names=[*batch.schema.names, name])
+
+    return common.mapped(rows, run, T.StructType([*rows.schema.fields, T.StructField(name, T.BooleanType())]))
+
+
+def gram_counts(rows: DataFrame, good: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(gram, c, t) of all rows and of the trusted ones: those whose id is in good and that aren't held out."""
+    seen = marked(rows, good, "maybe").withColumn("trusted", F.col("maybe") & ~held_out())
+    counts = scratch.keep(counted(seen))
+    passed = marked(rows.select("doc_id").distinct(), good, "maybe").where("maybe").select("doc_id")
+    wrong = scratch.keep(passed.where(~held_out()).join(good, "doc_id", "left_anti"))
+    if wrong.first():
+        texts = marked(rows, wrong, "maybe").where("maybe").join(wrong, "doc_id", "left_semi").withColumn("trusted", F.lit(True))
+        off = counted(texts).select("gram", F.lit(0).cast("long").alias("c"), (-F.col("t")).alias("t"))
+        counts = scratch.keep(counts.unionByName(off).groupBy("gram").agg(F.sum("c").alias("c"), F.sum("t").alias("t")))
+    return counts
+
+
+def held_out() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
 
-        part = common.mapped(docs, score, "doc_id long, lang string, key long, log_p double, n long")
-        scored = part if scored is None else scored.unionByName(part)
-    if shards > 1:
-        summed = scored.groupBy("doc_id", "lang", "key").agg((F.sum("log_p") / (F.count("*") / shards)).alias("log_p"), (F.sum("n") / (F.count("*") / shards)).cast("long").alias("n"), (F.count("*") / shards).cast("int").alias("copies"))
-        scored = summed.select("doc_id", "lang", "key", "log_p", "n", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("col")
-    return scored
+
+def train(counts: DataFrame, scratch: common.Scratch) -> tuple[dict[int, DataFrame], dict[int, DataFrame], float]:
+    """counts: (gram, c) of the highest order. By order: (gram, p), the probabilities of seen grams, and (context, weight); and the log probability of a sign that was never seen."""
+    tables = {ORDER: counts}
+    for n in range(ORDER - 1, 0, -1):
+        tables[n] = scratch.keep(tables[n + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("c")))
+    seen, weights, unseen = {}, {}, math.log(1e-6)
+    for n in range(1, ORDER + 1):
+        table = tables[n]
+        of = table.agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in range(1, 5)], F.count("*").alias("types")).first()
+        y = of.n1 / (of.n1 + 2 * of.n2) if of.n1 else 0.0
+        d = [min(max(k - (k + 1) * y * of[f"n{k + 1}"] / of[f"n{k}"], 0.1), k - 0.05) if of[f"n{k}"] else 0.5 for k in (1, 2, 3)]
+        discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+        context = F.substring("gram", 1, n - 1) if n > 1 else F.lit("")
+        by_context = table.groupBy(context.alias("context")).agg(F.sum("c").alias("total"), F.sum(discount).alias("held"))
+        weights[n] = scratch.keep(by_context.select("context", "total", (F.col("held") / F.col("total")).alias("weight")))
+        own = table.select("gram", "c", context.alias("context"), F.expr("substring(gram, 2)").alias("shorter")).join(weights[n], "context")
+        mass = (F.col("c") - discount) / F.col("total")
+        if n == 1:
+            weight = (weights[n].first() or {"weight": 1.0})["weight"]
+            unseen = math.log(weight / (of.types + 1)) if of.types else unseen
+            probable = own.select("gram", (mass + F.col("weight") / (of.types + 1)).alias("p"))
+        else:
+            probable = own.join(seen[n - 1].select(F.col("gram").alias("shorter"), F.col("p").alias("q")), "shorter").select("gram", (mass + F.col("weight") * F.col("q")).alias("p"))
+        seen[n] = scratch.keep(probable)
+    return seen, weights, unseen
+
+
+def gram_values(counts: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(gram, c, value): the log probability of the last sign of each gram of the corpus, given those before. counts: (gram, c, t)."""
+    seen, weights, unseen = train(counts.where("t > 0").select("gram", F.col("t").alias("c")), scratch)
+    known = counts.where("t > 0").join(seen[ORDER], "gram").select("gram", "c", F.log("p").alias("value"))
+    # what wasn't seen goes down order by order, and takes along the weights of its contexts
+    open_ = counts.where("t <= 0").select("gram", "c", F.lit(0.0).alias("w"), F.lit(None).cast("double").alias("value"))
+    for n in range(ORDER, 0, -1):
+        suffix = F.expr(f"substring(gram, {ORDER - n + 1})")
+        if n < ORDER:
+            open_ = open_.join(seen[n].select(F.col("gram").alias("g"), "p"), suffix == F.col("g"), "left")
+            open_ = open_.select("gram", "c", "w", F.coalesce("value", F.col("w") + F.log("p")).alias("value"))
+        if n > 1:
+            open_ = open_.join(weights[n].select("context", "weight"), F.substring(suffix, 1, n - 1) == F.col("context"), "left")
+            open_ = open_.select("gram", "c", (F.col("w") + F.coalesce(F.log("weight"), F.lit(0.0))).alias("w"), "value")
+    told = open_.select("gram", "c", F.coalesce("value", F.col("w") + F.lit(unseen)).alias("value"))
+    return scratch.keep(known.unionByName(told))
+
+
+def hot_grams(values: DataFrame) -> Lookup:
+    """The values of the most common grams, at most HOT_GRAMS."""
+    step = F.floor(F.log2("c") * 8).cast("int")
+    sizes = {r.step: r.n for r in values.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()}  # at most 512 rows
+    least, size = max(sizes, default=0) + 1, 0
+    for k in sorted(sizes, reverse=True):
+        size += sizes[k]
+        if size > HOT_GRAMS:
+            break
+        least = k
+    hot = values.where(step >= least).select("gram", "value").toArrow()  # at most HOT_GRAMS rows
+    points = np.frombuffer("".join(hot["gram"].to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    return Lookup(gram_keys(points, np.arange(ORDER - 1, len(points), ORDER), ORDER), hot["value"].to_numpy())
+
+
+SCORED = "row long, doc_id long, lang string, key long, part int, log_p double, n long, grams array<string>, times array<int>"
+
+
+def perplexities(rows: DataFrame, good: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(doc_id, lang, key, log_p, n) of each of the rows; good: the ids of trusted ones."""
+    values = gram_values(gram_counts(rows, good, scratch), scratch)
+    shared = rows.sparkSession.sparkContext.broadcast(hot_grams(values))
+
+    def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts, names = batch.column("text").to_pylist(), ["row", "doc_id", "lang", "key"]
+        told = np.zeros(len(texts), np.int32)
+
+        def batch_of(own, log_p, size, offsets, grams, times):
+            part = told[own].copy()
+            told[own] += 1
+            lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, kind)) for x, kind in ((grams, pa.string()), (times, pa.int32()))]
+            return pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(own)) for c in names), pa.array(part, pa.int32()), pa.array(log_p), pa.array(size), *lists], names=[*names, "part", "log_p", "n", "grams", "times"])
+
+        for points, ends, owner in places(texts, _PIECE):
+            if not len(ends):
+                continue
+            keys = gram_keys(points, ends, ORDER)
+            value, found = shared.value.get(keys)
+            own, at = np.unique(owner, return_inverse=True)
+            log_p, size = np.bincount(at, value, len(own)), np.bincount(at, minlength=len(own))
+            # the other grams of each text, each once with its number
+            rest = np.flatnonzero(~found)
+            rest = rest[np.lexsort((keys[rest], at[rest]))]
+            new = np.ones(len(rest), bool)
+            new[1:] = (keys[rest[1:]] != keys[rest[:-1]]) | (at[rest[1:]] != at[rest[:-1]])
+            first = np.flatnonzero(new)
+            offsets = np.searchsorted(at[rest[first]], np.arange(len(own) + 1))
+            yield batch_of(own, log_p, size, offsets, _grams(points, ends[rest[first]]), np.diff(np.append(first, len(rest))))
+        none = np.flatnonzero(told == 0)
+        if len(none):
+            yield batch_of(none, np.zeros(len(none)), np.zeros(len(none), np.int64), np.zeros(len(none) + 1, np.int64), [], [])
+
+    scored = scratch.keep(common.mapped(rows.withColumn("row", F.monotonically_increasing_id()), score, SCORED))
+    rare = scored.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", "g.grams", "g.times")
+    more = rare.join(values.select(F.col("gram").alias("grams"), "value"), "grams").select("row", (F.col("times") * F.col("value")).alias("log_p"), F.lit(0).cast("long").alias("n"))
+    # a document has a row for each of its parts, and the first one has its names
+    more = more.unionByName(scored.where("part > 0").select("row", "log_p", "n")).groupBy("row").agg(F.sum("log_p").alias("more"), F.sum("n").alias("more_n"))
+    both = scored.where("part = 0").select("row", "doc_id", "lang", "key", "log_p", "n").join(more, "row", "left")
+    return both.select("doc_id", "lang", "key", (F.col("log_p") + F.coalesce("more", F.lit(0.0))).alias("log_p"), (F.col("n") + F.coalesce("more_n", F.lit(0))).alias("n"))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -259,12 +365,10 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scratch = common.Scratch(spark)
     rows = _rows(docs)
     good = scratch.keep(labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
-    good = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    trusted = rows.select("doc_id", "text").where(~held).join(good, "doc_id", "left_semi").select("text")
-    scored = perplexities(rows, trusted, scratch)
+    held = held_out()
+    scored = perplexities(rows, good, scratch)
     size = F.floor(F.log2(F.least(F.greatest(F.col("n"), F.lit(16)), F.lit(1 << 14)))).cast("int")
-    scored = scratch.keep(scored.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n")))).withColumn("size", size))
+    scored = scratch.keep(scored.withColumn("perplexity", F.when(F.col("n") > 0, F.round(F.exp(-F.col("log_p") / F.col("n")), 6))).withColumn("size", size))
     known = scored.where("perplexity is not null").join(good, "doc_id", "left_semi")
     seen = F.percentile_approx("perplexity", [LOW, HIGH], 10_000)
     unseen = F.percentile_approx(F.when(held, F.col("perplexity")), HIGH, 10_000)

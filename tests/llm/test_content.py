@@ -61,10 +61,11 @@ def by_hand(texts):
     return perplexity
 
 
-@pytest.mark.parametrize(("rows", "ids"), [(3_000_000, 1 << 20), (700, 5)])
-def test_perplexities_equal_the_definition(spark, monkeypatch, rows, ids):
-    monkeypatch.setattr(kneser, "SHARD_ROWS", rows)
-    monkeypatch.setattr(kneser, "BROADCAST_IDS", ids)
+@pytest.mark.parametrize(("hot", "bits", "piece", "held"), [(1 << 18, 1 << 20, 1 << 20, 1 << 21), (64, 64, 50, 100), (0, 128, 1 << 20, 1 << 21)])
+def test_perplexities_equal_the_definition(spark, monkeypatch, hot, bits, piece, held):
+    """Also if few grams are hot, the filter of ids lets nearly all through, and texts are taken in parts."""
+    for name, value in (("HOT_GRAMS", hot), ("FILTER_BITS", bits), ("_PIECE", piece), ("HELD_GRAMS", held)):
+        monkeypatch.setattr(kneser, name, value)
     texts = [prose(i, 60) for i in range(12)] + ["Ää 123 😀 |", "", None, prose(1, 60)]
     docs = spark.createDataFrame([(min(i, 14), t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1) for i in range(6)] + [(7, 0), (0, 1), (99, 1)], "doc_id long, quality int")
