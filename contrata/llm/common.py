@@ -106,10 +106,10 @@ def copies_of_hot(keys: DataFrame, key: str) -> DataFrame:
     return counts.select("__hot_key", F.ceil(F.col("__n") * MOST_HOT / F.lit(max(total, 1))).cast("int").alias("__copies"))
 
 
-def met(big: DataFrame, small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Inner join of big with small on a column; hot: copies_of_hot of big's. small's rows of a hot key are copied, and big's are dealt to the copies."""
+def met(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join of big with small on a column; hot: copies_of_hot of big's. small's rows of a hot key are copied, and big's are dealt to the copies by some columns."""
     copies = F.coalesce("__copies", F.lit(1))
-    one = big.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn("__part", F.pmod(F.xxhash64(*big.columns), copies).cast("int")).drop("__hot_key", "__copies")
+    one = big.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn("__part", F.pmod(F.xxhash64(*by), copies).cast("int")).drop("__hot_key", "__copies")
     other = small.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__hot_key", "__copies")
     return one.join(other, [key, "__part"]).drop("__part")
 

@@ -12,11 +12,16 @@
    After that each pair that shares a bucket was confirmed, refuted or is connected already, so the components are those
    of all pairs in a bucket; no group is expanded into all its pairs.
 
+Groups may be large. What each member of one has to meet (its digest's representative, its bucket's smallest one with
+sketch and text) is looked up by common.looked_up and common.met: keys that more than one in common.MOST_HOT rows have are
+dealt to many tasks, with as many copies of what is met there, so a text is sent once for a part of its group.
+
 A pair at the threshold of 0.75 shares a bucket but for five in a million, and passes the sketch but for fewer.
 
-Cases: no words, or a null text: an empty set, linked with nothing. Fewer words than a shingle: all of them are one.
-Rows that share a doc_id are one node with several texts: they get one component, and a row each. A null doc_id: the
-row stays, with a null component, and is kept. No rows: no rows.
+Cases: no words, or a null text: an empty set, linked with nothing. Fewer words than a shingle: all of them are one. Very
+long texts: cut whole, in memory that grows with the text. Rows that share a doc_id are one node with several texts: they
+get one component, and a row each. A null doc_id: the row stays, with a null component, and is kept. Extra columns,
+whatever their names, do no harm. No rows: no rows.
 """
 
 from __future__ import annotations
@@ -139,10 +144,11 @@ def _similar(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """pairs (a, b) of ids whose documents' full sets are similar; each side's text comes by one join on its id."""
-    left = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-    return common.mapped(both, _similar, "a long, b long")
+    """pairs (a, b) of ids whose documents' full sets are similar; each side's text comes by one join on its id. pairs: a written table."""
+    for k, other in ("ab", "ba"):
+        texts = docs.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
+        both = common.met(pairs if k == "a" else both, texts, k, common.copies_of_hot(pairs, k), [other])
+    return common.mapped(both.select("a", "b", "text_a", "text_b"), _similar, "a long, b long")
 
 
 def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
@@ -159,11 +165,11 @@ def components(edges: DataFrame, scratch: common.Scratch) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct() if count[0] else now.select(F.col("u").alias("node"), F.col("v").alias("label"))
         seen = tuple(count)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = common.looked_up(both.where("v > u"), least, ["u"], "m", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.keep(large.where("u != v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = common.looked_up(large, least, ["u"], "m", "n").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         after = scratch.keep(small.where("u != v").distinct())
         scratch.drop(now, large)
         now = after
@@ -200,8 +206,10 @@ def _across(bits_most: int):
 def _cross_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, scratch: common.Scratch) -> DataFrame:
     """Pairs (a, b) in buckets that hold several labels, of different labels and with close sketches."""
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", F.col("rep").alias("node"), F.coalesce("label", "rep").alias("label"))
+    labelled = scratch.keep(labelled)
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("bucket", "n")
-    open_ = labelled.join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    open_ = common.looked_up(labelled, mixed.withColumn("size", F.col("n")), ["bucket"], "size", "n").where("size is not null")
+    open_ = open_.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # cell (i, j), i <= j, holds blocks i and j; within i = j all members meet, else one side meets the other
     cells = open_.select("bucket", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("bucket", "node", "label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"))
@@ -216,25 +224,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs, scratch = common.texts(docs), common.Scratch(spark)
     sketched = scratch.keep(common.mapped(docs, _sketch, _SKETCH_SCHEMA))
     named = sketched.where("doc_id is not null and n_shingles > 0")
-    of_digest = named.groupBy("digest_a", "digest_b").agg(F.min("doc_id").alias("rep"))
-    copies = scratch.keep(named.select("doc_id", "digest_a", "digest_b").join(of_digest, ["digest_a", "digest_b"]).select("doc_id", "rep").distinct())
-    sketches = named.select("doc_id", "bands", "sketch").join(copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id")
+    of_digest = named.groupBy("digest_a", "digest_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
+    copies = common.looked_up(named.select("doc_id", "digest_a", "digest_b"), of_digest, ["digest_a", "digest_b"], "rep", "n")
+    copies = scratch.keep(copies.select("doc_id", "rep").distinct())
+    sketches = named.select("doc_id", "bands").join(copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id")
     members = sketches.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
-    shared = members.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    members = scratch.keep(members.join(shared, "bucket").select("bucket", "rep", "centre"))
+    shared = scratch.keep(members.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1"))
+    members = scratch.keep(common.looked_up(members, shared, ["bucket"], "centre", "n").where("centre is not null"))
 
-    star = members.where("rep != centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
+    star = scratch.keep(members.where("rep != centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct())
     sides = [named.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"sketch_{k}")) for k in "ab"]
-    star = star.join(sides[0], "a").join(sides[1], "b").where(_differing("sketch_a", "sketch_b") <= most_differing()).select("a", "b").distinct()
-    links = scratch.keep(_confirmed(scratch.keep(star), docs))
+    close = common.met(star.join(sides[0], "a"), sides[1], "b", common.copies_of_hot(star, "b"), ["a"]).where(_differing("sketch_a", "sketch_b") <= most_differing())
+    close = scratch.keep(close.select("a", "b").distinct())
+    links = scratch.keep(_confirmed(close, docs))
     labels = scratch.keep(components(links, scratch))
 
     crossing = scratch.keep(_cross_pairs(members.select("bucket", "rep"), labels, named.select("doc_id", "n_shingles", "bands", "sketch", "set_sketch"), scratch))
     more = scratch.keep(_confirmed(crossing, docs))
-    same = copies.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # a doc_id with several texts links the representatives of all of them
+    several = copies.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b < most")
+    same = copies.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
     groups = scratch.keep(components(links.unionByName(more).unionByName(same), scratch))
-    scratch.drop(members, links, crossing, more)
-    out = sketched.select("doc_id", "n_shingles").join(groups.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left")
+    scratch.drop(shared, members, star, close, links, labels, crossing, more)
+    of_doc = common.looked_up(copies.withColumnRenamed("rep", "node"), groups, ["node"], "label").select("doc_id", F.coalesce("label", "node").alias("label"))
+    of_doc = of_doc.groupBy("doc_id").agg(F.min("label").alias("label"))
+    out = sketched.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left")
     component = F.coalesce("label", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
@@ -242,7 +256,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs whose document stays: of each component, the one with the smallest doc_id."""
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
 
 
 __all__ = ["WIDTH", "components", "keep_one", "near_duplicates", "Iterator"]

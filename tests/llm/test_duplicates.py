@@ -56,7 +56,9 @@ def test_shingle_sets_are_those_of_the_words():
             assert len(np.intersect1d(sets[i], sets[j])) == len(set_of(texts[i]) & set_of(texts[j]))
 
 
-def test_near_duplicates_equal_brute_force(documents, spark):
+@pytest.mark.parametrize("most", [3, 1000])
+def test_near_duplicates_equal_brute_force(documents, spark, monkeypatch, most):
+    monkeypatch.setattr(common, "MOST_HOT", most)
     got = sorted(map(str, (tuple(r) for r in minhash.near_duplicates(documents).collect())))
     assert got == sorted(map(str, brute_components(corpus())))
 
@@ -173,7 +175,7 @@ def test_hot_keys_are_looked_up_like_others(spark, monkeypatch, most):
     wanted = sorted((i, known.get((k if i % 11 else None, s))) for i, k, s in rows)
     assert sorted((r.i, r.v) for r in common.looked_up(big, small, ["k", "s"], "v").select("i", "v").collect()) == wanted
     texts = spark.createDataFrame([(0, "zero"), (0, "again"), (3, "three")], "k long, text string")
-    met = common.met(big.select("i", "k"), texts, "k", common.copies_of_hot(big, "k"))
+    met = common.met(big.select("i", "k"), texts, "k", common.copies_of_hot(big, "k"), ["i"])
     assert sorted((r.i, r.text) for r in met.collect()) == sorted((i, t) for i, k, _ in rows if i % 11 for j, t in ((0, "zero"), (0, "again"), (3, "three")) if j == k)
 
 
