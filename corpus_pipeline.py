@@ -1,4 +1,15 @@
-"""The corpus pipeline: documents, filtered and deduplicated, as packed sequences."""
+"""The corpus pipeline: documents, filtered and deduplicated, as packed sequences.
+
+Each stage but the last returns the columns of documents, whatever these are and however they are named, and may be given
+any table with doc_id, text and lang.
+
+Cases, stage by stage (the operators' own docstrings say more): null and empty texts go with the quality stage, as no model
+can tell anything about them; where a stage is given some, line dedup leaves them as they are, near dedup keeps each,
+decontamination finds nothing in them and packing gives each its end token. Documents of which line dedup leaves white space
+alone go there, as all their lines stay elsewhere. Very long texts are taken whole throughout. Ties: the smallest doc_id
+stays. Repeated rows: near dedup counts rows that share a doc_id as one document, all of which stay or go. Null doc_ids are
+never duplicates of others and stay. An empty table: no rows.
+"""
 
 from __future__ import annotations
 
@@ -17,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without later occurrences of repeated three-line windows."""
-    return lines.deduplicated(docs)
+    """Documents without later occurrences of repeated three-line windows; those of which nothing is left go."""
+    return lines.deduplicated(docs, keep_emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
