@@ -44,8 +44,8 @@ from contrata.llm.shingles import mix
 ORDER = 5
 #: The corpus's most common grams, whose probabilities are broadcast (about 32 bytes each in the lookup table).
 HOT_GRAMS = 1 << 18
-#: Grams that a task holds before it passes them on (about 50 bytes each).
-HELD_GRAMS = 1 << 21
+#: Counts that a task holds before it adds up those of equal grams (24 bytes each); of more than half as many grams it passes the counts on.
+HELD_GRAMS = 1 << 20
 LOW, HIGH, SLACK = 0.01, 0.99, 1.1
 #: A quantile of a length is taken over so many held-out documents at least, else it is that of all lengths; a language with fewer has a wider slack.
 LEAST_TRUSTED = 50
@@ -57,7 +57,9 @@ FILTER_BITS, FILTER_HASHES = 1 << 27, 5
 START = 2
 
 _FACTORS = mix(np.arange(11, 11 + ORDER, dtype=np.uint64)) | np.uint64(1)
-_CONTEXT = np.uint64(0x5851F42D4C957F2D)
+#: Bits of a sign in the key of a gram that has no sign beyond them.
+_BITS = 60 // ORDER
+_NARROW, _WIDE = 1 << _BITS, np.uint64(1 << 63)
 _PIECE = 1 << 20
 _FILTER = mix(np.arange(1, FILTER_HASHES + 1, dtype=np.uint64) << np.uint64(32))
 
@@ -68,9 +70,9 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         size = 1 << max(4, int(2 * max(len(keys), 1) - 1).bit_length())
         self.mask = np.uint64(size - 1)
+        keys = keys + np.uint64(1)  # 0 is a free place
         self.keys, self.values = np.zeros(size, np.uint64), np.zeros(size)
-        keys = np.where(keys == 0, np.uint64(1), keys)
-        left, at = np.arange(len(keys)), keys & self.mask
+        left, at = np.arange(len(keys)), mix(keys) & self.mask
         while len(left):
             free = self.keys[at] == 0
             place, own = at[free], left[free]
@@ -81,7 +83,8 @@ class Lookup:
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values, 0 where there is none, and whether there is one."""
-        at = keys & self.mask
+        keys = keys + np.uint64(1)
+        at = mix(keys) & self.mask
         there = self.keys[at]
         found = there == keys
         out = np.where(found, self.values[at], 0.0)
@@ -106,12 +109,20 @@ def symbols(text: str) -> np.ndarray:
     return points
 
 
-def gram_keys(points: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
-    """Keys of the n signs that end at the places."""
-    total = np.full(len(ends), int(n) * int(_CONTEXT) & (1 << 64) - 1, dtype=np.uint64)
-    for j in range(n):
-        total += (points[ends - j] + np.uint64(1)) * _FACTORS[j]
-    return mix(total)
+def gram_keys(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Keys of the grams of the highest order that end at the places: their signs, if all are below _NARROW, else a hash with the highest bit."""
+    packed = points[ORDER - 1 :].copy()
+    for j in range(1, ORDER):
+        packed |= points[ORDER - 1 - j : len(points) - j] << np.uint64(_BITS * j)
+    keys = packed[ends - (ORDER - 1)]
+    if len(points) and points.max() >= _NARROW:
+        wide = np.concatenate([[0], np.cumsum(points >= _NARROW)])
+        at = np.flatnonzero(wide[ends + 1] > wide[ends - (ORDER - 1)])
+        total = np.zeros(len(at), dtype=np.uint64)
+        for j in range(ORDER):
+            total += (points[ends[at] - j] + np.uint64(1)) * _FACTORS[j]
+        keys[at] = mix(total) | _WIDE
+    return keys
 
 
 def places(texts: list[str], piece: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -121,8 +132,10 @@ def places(texts: list[str], piece: int) -> Iterator[tuple[np.ndarray, np.ndarra
     def told():
         points = symbols("".join(parts))
         lengths = np.array([len(p) for p in parts])
-        first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-        ends = np.flatnonzero((np.arange(len(points)) - first >= ORDER - 1) & (points != START))
+        first = np.cumsum(lengths) - lengths
+        told = points != START
+        told[np.minimum(first[:, None] + np.arange(ORDER - 1)[None, :], len(points) - 1).ravel()] = False
+        ends = np.flatnonzero(told)
         return points, ends, np.repeat(np.array(owners), lengths)[ends]
 
     for owner, text in enumerate(texts):
@@ -142,36 +155,57 @@ def _grams(points: np.ndarray, ends: np.ndarray) -> list[str]:
     return [text[k : k + ORDER] for k in range(0, len(text), ORDER)]
 
 
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
 class _Counts:
-    """Grams with their numbers in all texts and in trusted ones."""
+    """Keys of grams with their numbers in all texts and in trusted ones, and the signs of those whose keys don't tell them."""
 
     def __init__(self):
-        self.parts: list[tuple] = []
-        self.size = 0
+        self.parts, self.wide, self.size = [], {}, 0
 
     def add(self, points: np.ndarray, ends: np.ndarray, trusted: np.ndarray) -> None:
-        keys, first, of = np.unique(gram_keys(points, ends, ORDER), return_index=True, return_inverse=True)
-        signs = points[ends[first][:, None] + np.arange(1 - ORDER, 1)[None, :]].astype(np.uint32)
-        self.parts.append((keys, signs, np.bincount(of, minlength=len(keys)), np.bincount(of, trusted, len(keys)).astype(np.int64)))
-        self.size += len(keys)
-        if self.size > HELD_GRAMS:
-            self.merge()
+        keys = gram_keys(points, ends)
+        wide = np.flatnonzero(keys >= _WIDE)
+        if len(wide):
+            new, first = np.unique(keys[wide], return_index=True)
+            self.wide.update(zip(new.tolist(), _grams(points, ends[wide[first]]), strict=True))
+        for own, t in ((keys[~trusted], 0), (keys[trusted], 1)):
+            own = np.sort(own)
+            first = _runs(own)
+            c = np.diff(np.append(first, len(own)))
+            self.parts.append((own[first], c, c * t))
+            self.size += len(first)
 
     def merge(self) -> None:
-        columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
-        keys, first, of = np.unique(columns[0], return_index=True, return_inverse=True)
-        self.parts = [(keys, columns[1][first], *(np.bincount(of, c, len(keys)).astype(np.int64) for c in columns[2:]))]
-        self.size = len(keys)
+        keys, c, t = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = _runs(keys)
+        self.parts = [(keys[first], np.add.reduceat(c[order], first), np.add.reduceat(t[order], first))] if len(keys) else []
+        self.size = len(first)
 
     def told(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
             self.merge()
-            _, signs, c, t = self.parts[0]
+        for keys, c, t in self.parts:
             for i in range(0, len(c), 1 << 16):
-                text = signs[i : i + (1 << 16)].tobytes().decode("utf-32-le", "surrogatepass")
-                yield pa.RecordBatch.from_arrays([pa.array([text[k : k + ORDER] for k in range(0, len(text), ORDER)]), pa.array(c[i : i + (1 << 16)]), pa.array(t[i : i + (1 << 16)])], names=["gram", "c", "t"])
+                part = slice(i, i + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(self.grams(keys[part])), pa.array(c[part]), pa.array(t[part])], names=["gram", "c", "t"])
         self.__init__()
 
+    def grams(self, keys: np.ndarray) -> list[str]:
+        shift = np.arange(ORDER - 1, -1, -1, dtype=np.uint64) * np.uint64(_BITS)
+        text = (np.where(keys < _WIDE, keys, 0)[:, None] >> shift[None, :] & np.uint64(_NARROW - 1)).astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+        out = [text[k : k + ORDER] for k in range(0, len(text), ORDER)]
+        for i in np.flatnonzero(keys >= _WIDE):
+            out[i] = self.wide[int(keys[i])]
+        return out
+
 
 def counted(rows: DataFrame) -> DataFrame:
     """(gram, c, t): the grams of the highest order, with their numbers in all texts and in those whose `trusted` is true."""
@@ -179,11 +213,12 @@ def counted(rows: DataFrame) -> DataFrame:
     def run(batches):
         counts = _Counts()
         for batch in batches:
-            trusted = np.array(batch.column("trusted").to_pylist(), dtype=np.float64)
+            trusted = np.array(batch.column("trusted").to_pylist(), dtype=bool)
             for points, ends, owner in places(batch.column("text").to_pylist(), _PIECE):
-                if len(ends):
-                    counts.add(points, ends, trusted[owner])
+                counts.add(points, ends, trusted[owner])
                 if counts.size > HELD_GRAMS:
+                    counts.merge()
+                if counts.size > HELD_GRAMS // 2:
                     yield from counts.told()
         yield from counts.told()
 
@@ -304,7 +339,7 @@ def hot_grams(values: DataFrame) -> Lookup:
         least = k
     hot = values.where(step >= least).select("gram", "value").toArrow()  # at most HOT_GRAMS rows
     points = np.frombuffer("".join(hot["gram"].to_pylist()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    return Lookup(gram_keys(points, np.arange(ORDER - 1, len(points), ORDER), ORDER), hot["value"].to_numpy())
+    return Lookup(gram_keys(points, np.arange(ORDER - 1, len(points), ORDER)), hot["value"].to_numpy())
 
 
 SCORED = "row long, doc_id long, lang string, key long, part int, log_p double, n long, grams array<string>, times array<int>"
@@ -328,16 +363,15 @@ def perplexities(rows: DataFrame, good: DataFrame, scratch: common.Scratch) -> D
         for points, ends, owner in places(texts, _PIECE):
             if not len(ends):
                 continue
-            keys = gram_keys(points, ends, ORDER)
+            keys = gram_keys(points, ends)
             value, found = shared.value.get(keys)
-            own, at = np.unique(owner, return_inverse=True)
+            first = _runs(owner)
+            own, at = owner[first], np.repeat(np.arange(len(first)), np.diff(np.append(first, len(owner))))
             log_p, size = np.bincount(at, value, len(own)), np.bincount(at, minlength=len(own))
             # the other grams of each text, each once with its number
             rest = np.flatnonzero(~found)
             rest = rest[np.lexsort((keys[rest], at[rest]))]
-            new = np.ones(len(rest), bool)
-            new[1:] = (keys[rest[1:]] != keys[rest[:-1]]) | (at[rest[1:]] != at[rest[:-1]])
-            first = np.flatnonzero(new)
+            first = np.union1d(_runs(keys[rest]), _runs(at[rest]))
             offsets = np.searchsorted(at[rest[first]], np.arange(len(own) + 1))
             yield batch_of(own, log_p, size, offsets, _grams(points, ends[rest[first]]), np.diff(np.append(first, len(rest))))
         none = np.flatnonzero(told == 0)

@@ -56,7 +56,8 @@ def by_hand(texts):
     def perplexity(text):
         t = re.sub(r"[\t-\r]", " ", re.sub(r"[0-9]", "0", text))
         padded = chr(kneser.START) * (n_max - 1) + t
-        return math.exp(-sum(math.log(p(padded[i : i + n_max])) for i in range(len(t))) / len(t)) if t else None
+        own = [i for i in range(len(t)) if t[i] != chr(kneser.START)]
+        return math.exp(-sum(math.log(p(padded[i : i + n_max])) for i in own) / len(own)) if t else None
 
     return perplexity
 
@@ -66,7 +67,7 @@ def test_perplexities_equal_the_definition(spark, monkeypatch, hot, bits, piece,
     """Also if few grams are hot, the filter of ids lets nearly all through, and texts are taken in parts."""
     for name, value in (("HOT_GRAMS", hot), ("FILTER_BITS", bits), ("_PIECE", piece), ("HELD_GRAMS", held)):
         monkeypatch.setattr(kneser, name, value)
-    texts = [prose(i, 60) for i in range(12)] + ["Ää 123 😀 |", "", None, prose(1, 60)]
+    texts = [prose(i, 60) for i in range(12)] + ["Ää 123 😀 | \x00\x00\x00\x00\x00\x00 東京東京東京東京 \x02 x", "", None, prose(1, 60)]
     docs = spark.createDataFrame([(min(i, 14), t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1) for i in range(6)] + [(7, 0), (0, 1), (99, 1)], "doc_id long, quality int")
     monkeypatch.setattr(kneser, "HELD_OUT", 1 << 40)
