@@ -31,6 +31,27 @@ SPACED_FORMS = ["SRL", "SME", "SLU", "SLP", "SLL", "SAU", "SAE"]
 FINAL_FORMS = ["SL", "SA"]
 #: What the quality score takes out of company names, wherever it stands.
 QUALITY_FORMS = [" SOCIEDAD LIMITADA", " SOCIEDAD ANONIMA", " S.L.U.", " S.L.L.", " S.L.", " S.A.U.", " S.A.", " SLU", " SLL", " SLP", " SL", " SAU", " SA", " S.COOP", " SCOOP", " S COOP", " S.C.", " SC", " UNIPERSONAL", " EN CONSTITUCION", ",", ".", "-"]
+#: Legal forms that the gazette's parser takes off, one of them, after a space.
+PARSER_FORMS = [
+    "SOCIEDAD ANONIMA DEPORTIVA", "SOCIEDAD ANONIMA", "SOCIEDAD LIMITADA PROFESIONAL", "SOCIEDAD LIMITADA LABORAL", "SOCIEDAD LIMITADA NUEVA EMPRESA", "SOCIEDAD LIMITADA", "SOCIEDAD COOPERATIVA ANDALUZA", "SOCIEDAD COOPERATIVA", "SOCIEDAD CIVIL PROFESIONAL", "SOCIEDAD CIVIL", "AGRUPACION DE INTERES ECONOMICO",
+    "SAU", "SLU", "SAD", "SLL", "SLP", "SLNE", "SA SME", "SA", "SL", "SC", "SCA", "SCCL", "SCOOP", "SE", "SRL", "AIE",
+]
+#: Patterns of the health sector's buyers.
+HEALTH = [
+    "SALUD", "SANITARI", "HOSPITAL", "CLINIC[AO]", "OSAKIDETZA", "SERGAS", "SACYL", "SESCAM", "OSASUNBIDEA", "INGESA", "IB.SALUT", r"ICS\b", "INSTITUT CATALA DE LA SALUT",
+    "SERVICIO ANDALUZ", "SERVICIO CANARIO", "SERVICIO MURCIANO", "SERVICIO RIOJANO", "SERVICIO NAVARRO", "SERVICIO EXTREMEÑO", "SERVICIO ARAGONES", "SERVICIO GALLEGO", "SERVEI BALEAR", "SERVEI CATALA",
+    "AREA DE SALUD", "GERENCIA DE ATENCION", "FARMACI", "MEDICAMENT", "CENTRO DE TRANSFUSION", "AMBULANCI", "EMERGENCI", "061", "112 SANITARI", "MUFACE", "FREMAP", "MUTUA", "AECC", "CRUZ ROJA",
+]
+#: Regions by parts of buyers' names, the first that fits.
+REGIONS = {
+    "Andalucia": ["ANDALUZ", "JUNTA DE ANDALUCIA", "SAS"], "Cataluña": ["CATALA", "GENERALITAT DE CATALUN", "ICS"], "Madrid": ["MADRID", "COMUNIDAD DE MADRID", "SERMAS"], "C. Valenciana": ["VALENCIA", "GENERALITAT VALENCIANA"], "Galicia": ["GALLEGO", "SERGAS", "XUNTA"], "Pais Vasco": ["OSAKIDETZA", "EUSKO"],
+    "Castilla y Leon": ["SACYL", "CASTILLA Y LEON"], "Canarias": ["CANARIO", "CANARIAS"], "Baleares": ["BALEAR", "IB.SALUT"], "Aragon": ["ARAGON"], "Asturias": ["ASTURIAS", "SESPA"], "Murcia": ["MURCIANO", "MURCIA"],
+    "Extremadura": ["EXTREMEÑO", "EXTREMADURA"], "Castilla-La Mancha": ["SESCAM", "CASTILLA.LA MANCHA"], "Navarra": ["NAVARRO", "OSASUNBIDEA", "NAVARRA"], "La Rioja": ["RIOJANO", "RIOJA"], "Cantabria": ["CANTABRIA"], "AGE (INGESA, MUFACE...)": ["INGESA", "MUFACE", "FREMAP"],
+}
+#: Bands of amounts in the health sector's study.
+HEALTH_BANDS = [(0.0, 221_000.0), (221_000.0, 500_000.0), (500_000.0, 1_000_000.0), (1_000_000.0, 5_000_000.0), (5_000_000.0, float("inf"))]
+#: Words of buyers' names that aren't key words.
+COMMON_WORDS = ["DE", "DEL", "LA", "LAS", "LOS", "EL", "EN", "POR", "PARA", "CON", "SIN", "UNA", "UNO", "QUE", "MAS", "GENERAL", "NACIONAL", "COMUNIDAD", "AUTONOMA", "ESTADO", "SECTOR", "PUBLICO", "PUBLICA", "SERVICIO", "SERVICIOS", "DIRECCION", "SUBDIREC", "AREA", "UNIDAD", "JEFATURA"]
 #: Control letters of personal and company identifiers.
 PERSON_LETTERS, COMPANY_LETTERS, COMPANY_TYPES = "TRWAGMYFPDXBNJZSQVHLCKE", "JABCDEFGHI", "ABCDEFGHJNPQRSUVW"
 #: Limits of the quality indicators.

@@ -15,6 +15,12 @@ def clean_nif(x: Column) -> Column:
     return F.when(F.length(t) >= 5, t).otherwise("")
 
 
+def clean_winner_nif(x: Column) -> Column:
+    """N8, for winners in notices: the country's prefix goes only from something, and words for nothing are nothing."""
+    t = F.regexp_replace(F.upper(F.trim(F.coalesce(x.cast("string"), F.lit("")))), r"^ES[-\s]*(?=[A-Z0-9])", "")
+    return F.when(~t.isin("NONE", "NAN", "N/A") & (F.length(t) >= 5), t).otherwise("")
+
+
 def pick_nif(ids: Column) -> Column:
     """The first of several ids that looks Spanish, else the last."""
     spanish = F.filter(ids, lambda i: (F.length(i) == 9) & (i.rlike("^[A-Za-z]") | i.rlike("[A-Za-z]$")))

@@ -36,10 +36,12 @@ def company_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"[.,;]+$", ""))
 
 
-def company_key_once(name: Column, forms: list[str] = fixed.LEGAL_FORMS) -> Column:
-    """Upper case, one legal form and final punctuation away."""
-    x = F.regexp_replace(F.trim(F.upper(_text(name))), r"[,.\s]+(?:" + "|".join(forms) + r")[.,;\s]*$", "")
-    return F.trim(F.regexp_replace(x, r"[.,;]+$", ""))
+def company_key_once(name: Column, forms: list[str] = fixed.PARSER_FORMS) -> Column:
+    """Upper case, one legal form after a space and then final punctuation away."""
+    ends = r"^\s+|\s+$"
+    x = F.regexp_replace(F.upper(_text(name)), ends, "")
+    x = F.regexp_replace(F.regexp_replace(x, " (?:" + "|".join(forms) + ")$", ""), ends, "")
+    return F.regexp_replace(F.regexp_replace(x, "[.,;]+$", ""), ends, "")
 
 
 def company_key_anywhere(name: Column) -> Column:
@@ -61,6 +63,11 @@ def buyer_key_without_forms(name: Column) -> Column:
     return F.regexp_replace(buyer_key(name), r"(?:\s+(?:S\s?[AL]\s?[UL]?|S\s?M\s?E|M\s?P|E\s?P))+$", "")
 
 
+def key_words(name: Column, least: int = 4) -> Column:
+    """The telling words of a buyer's name."""
+    return F.filter(F.split(buyer_key_without_forms(name), " "), lambda w: (F.length(w) >= least) & ~w.isin(fixed.COMMON_WORDS))
+
+
 def header_key(name: str) -> str:
     """A file's header in canonical form (driver side)."""
     fixed_signs = name.translate(str.maketrans("¢£¡¥", "óúíñ"))
@@ -101,6 +108,14 @@ def overlap(a: Column, b: Column, least: int = 2) -> Column:
     return F.when((smaller >= least) & (shared >= least), shared / smaller).otherwise(0.0)
 
 
+def first_scalar(x: Column) -> Column:
+    """Of JSON text, a list's first value, an object's first one that isn't empty (its first element, if that is a list), else the value itself; text that is no JSON stays."""
+    v = F.try_parse_json(x)
+    members = F.transform(F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: F.coalesce(F.try_variant_get(e, "$[0]", "string"), F.when(~F.schema_of_variant(e).startswith("ARRAY"), F.nullif(F.try_variant_get(e, "$", "string"), F.lit("")))))
+    kind = F.schema_of_variant(v)
+    return F.when(v.isNull(), x).when(kind.startswith("ARRAY"), F.try_variant_get(v, "$[0]", "string")).when(kind.startswith("OBJECT"), F.coalesce(F.get(F.filter(members, lambda m: m.isNotNull()), F.lit(0)), x)).otherwise(F.try_variant_get(v, "$", "string"))
+
+
 def salted_hash(x: Column, salt: str) -> Column:
     """16 hexadecimal digits of a salted SHA-256; null for nothing."""
     t = F.upper(F.trim(x.cast("string")))

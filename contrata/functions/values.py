@@ -29,6 +29,22 @@ def first_amount(*amounts: Column) -> Column:
     return F.coalesce(*[F.when(a > 0, a) for a in amounts])
 
 
+def notice_amount(award: Column, value: Column, total: Column, estimated: Column) -> Column:
+    """M4: a notice's amount: the award's, else the tender's, else the whole notice's, else what was estimated."""
+    return F.coalesce(*[number(x) for x in (award, value, total, estimated)])
+
+
+def match_amount(award: Column, budget: Column) -> Column:
+    """M4: a contract's amount for matching: the award's if it is above zero, else the budget's."""
+    return F.when(number(award) > 0, number(award)).otherwise(number(budget))
+
+
+def order_bucket(x: Column) -> Column:
+    """Whole numbers in the order of the values, 256 for each doubling; equal values share one."""
+    size = lambda a: F.floor(F.log2(a) * 256) + (1 << 20)
+    return F.when(x > 0, size(x)).when(x < 0, -size(-x)).otherwise(0).cast("long")
+
+
 def ratio(a: Column, b: Column) -> Column:
     """M5: null if there is nothing to divide by."""
     return a / F.nullif(b, F.lit(0).cast("double"))
@@ -65,7 +81,7 @@ def year_of(*dates: Column, name: Column | None = None) -> Column:
     """T4f: the year of the first date there is, else one in a file's name or a notice's id."""
     years = [F.year(d) for d in dates]
     if name is not None:
-        years.append(F.nullif(F.regexp_extract(name, r"(20[0-9]{2})", 1), F.lit("")).cast("int"))
+        years += [F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")).cast("int") for pattern in (r"-([0-9]{4})$", r"(20[0-9]{2})")]
     return F.coalesce(*years)
 
 

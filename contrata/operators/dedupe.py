@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
-def one_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """D-3, D-4: the first row of each key in the order given; ties are broken by the whole row, so results don't depend on partitions."""
-    rest = [F.xxhash64(*df.columns)]
-    w = Window.partitionBy(*keys).orderBy(*order, *rest)
-    return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+def one_per_key(df: DataFrame, keys: list[str], order: list[Column], last: bool = False) -> DataFrame:
+    """D-3, D-4: of each key the row that is first in an order without nulls, or last in one whose nulls are first; ties are broken by the whole row, so results don't depend on partitions. An aggregation: a task keeps one row a key before anything is shuffled, so a hot key is no task's load."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    tie = F.xxhash64(*df.columns)
+    best = F.max_by if last else F.min_by
+    row = best(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], (F.bitwise_not(tie) if last else tie).alias("tie")))
+    return df.groupBy(*keys).agg(row.alias("__row")).select(*[F.col(f"`{c}`") if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    return one_per_key(df, keys, F.col(order).asc_nulls_last())
+    return one_per_key(df, keys, [F.col(order).isNull(), F.col(order)])
 
 
 def keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    return one_per_key(df, keys, F.col(order).desc_nulls_last())
+    return one_per_key(df, keys, [F.col(order)], last=True)
 
 
 def by_content(df: DataFrame, ids: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -30,7 +33,7 @@ def by_content(df: DataFrame, ids: tuple[str, ...] = ("id",)) -> DataFrame:
 def most_complete(df: DataFrame, keys: list[str], dates: list[str]) -> DataFrame:
     """D-5: of each key the row with most values, then the latest dates."""
     filled = sum((F.col(c).isNotNull().cast("int") for c in df.columns), F.lit(0))
-    return one_per_key(df, keys, filled.desc(), *[F.col(d).desc_nulls_last() for d in dates])
+    return one_per_key(df, keys, [filled, *[F.col(d) for d in dates]], last=True)
 
 
 def duplicate_report(df: DataFrame, keys: list[str]) -> DataFrame:

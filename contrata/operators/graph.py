@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def co_membership(members: DataFrame, person: str, company: str, least: int = 2, most: int = 20) -> DataFrame:
     """(company_a, company_b, n_shared, shared) of companies with a person in common, a before b. Persons in more than `most` companies join none, which is part of the result's meaning and bounds a person's pairs."""
     pairs = members.where(F.col(person).isNotNull() & F.col(company).isNotNull()).select(F.col(person).alias("p"), F.col(company).alias("c")).distinct()
-    degree = pairs.groupBy("p").agg(F.sort_array(F.collect_set("c")).alias("all")).where(F.size("all").between(least, most))
+    counts = pairs.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n").between(least, most)).select("p")
+    degree = pairs.join(counts, "p", "left_semi").groupBy("p").agg(F.sort_array(F.collect_set("c")).alias("all"))
     ends = degree.select("p", "all", F.posexplode("all").alias("i", "company_a"))
     edges = ends.select("p", "company_a", F.explode(F.slice("all", F.col("i") + 2, F.lit(most))).alias("company_b"))
     return edges.groupBy("company_a", "company_b").agg(F.count("*").alias("n_shared"), F.array_join(F.sort_array(F.collect_set("p")), ",").alias("shared"))

@@ -4,25 +4,63 @@ The serial rule: left rows, in their order, each take the candidate that they li
 parallel rounds, a left row takes its best free candidate if it is the first of all open left rows that have that
 candidate at all; taken rows and candidates leave, and so on until no pair is left. The first open left row always
 takes its own, so rounds end. Rows whose choice depends on what is free (grouped lots) commit only if they are first
-at every candidate that they have.
+at every candidate that they have. Where the candidates fall into blocks that share no rows, each block of bounded size
+is assigned by the serial rule itself.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrata.functions import fixed
-from contrata.operators.cut import cut
+from contrata.operators.cut import cut, drop
 
 
 def tolerance(amount: Column, limits: tuple[float, float] = fixed.TOLERANCE) -> Column:
     return F.greatest(amount * limits[0], F.lit(limits[1]))
 
 
-def greedy(candidates: DataFrame, preference: list[str], choose=None) -> DataFrame:
-    """(left_ord, right_ord, and the preference's columns) of the assignment. candidates: a row for each pair, the same columns; smaller preferences are better. choose: instead, a function of a group's collected candidates that gives the chosen one; then rows commit by the strong rule."""
-    open_ = cut(candidates.select("left_ord", "right_ord", *preference))
+#: Pairs of a block that one task assigns in a loop; larger blocks go in rounds.
+MOST_PAIRS = 1 << 21
+
+
+def greedy(candidates: DataFrame, preference: list[str], choose=None, block: str | None = None) -> DataFrame:
+    """(left_ord, right_ord, and the preference's columns) of the assignment. candidates: a row for each pair, the same columns; smaller preferences are better. choose: instead, a function of a group's collected candidates that gives the chosen one; then rows commit by the strong rule. block: a column whose values share no rows of either side; each block is then assigned by one task, if it is of bounded size."""
+    if block is None:
+        return _rounds(cut(candidates.select("left_ord", "right_ord", *preference)), preference, choose)
+    pairs = cut(candidates.select(F.xxhash64(block).alias("__block"), "left_ord", "right_ord", *preference))
+    large = pairs.groupBy("__block").count().where(F.col("count") > MOST_PAIRS).select("__block")
+    small = pairs.join(large, "__block", "left_anti")
+    out = small.groupBy("__block").applyInArrow(_serial(preference), pairs.drop("__block").schema)
+    if large.take(1):
+        out = out.unionByName(_rounds(cut(pairs.join(large, "__block", "left_semi").drop("__block")), preference, None))
+    return out
+
+
+def _serial(preference: list[str]):
+    """The serial rule on one block's pairs."""
+
+    def run(pairs: pa.Table) -> pa.Table:
+        pairs = pairs.drop_columns(["__block"])
+        order = np.lexsort([pairs.column(c).to_numpy() for c in ["right_ord", *reversed(preference), "left_ord"]])
+        left, right = pairs.column("left_ord").to_numpy()[order].tolist(), pairs.column("right_ord").to_numpy()[order].tolist()
+        taken, done, chosen = set(), None, []
+        for i, (own, other) in enumerate(zip(left, right, strict=True)):
+            if own != done and other not in taken:
+                taken.add(other)
+                done = own
+                chosen.append(order[i])
+        return pairs.take(pa.array(chosen, pa.int64()))
+
+    return run
+
+
+def _rounds(open_: DataFrame, preference: list[str], choose) -> DataFrame:
     taken = None
     while open_.take(1):
         first = open_.groupBy("right_ord").agg(F.min("left_ord").alias("first_left"))
@@ -35,18 +73,44 @@ def greedy(candidates: DataFrame, preference: list[str], choose=None) -> DataFra
             best = marked.groupBy("left_ord").agg(F.collect_list(row).alias("all"), F.bool_and(is_first).alias("free")).where("free").select("left_ord", choose(F.col("all")).alias("best"))
         now = cut(best.select("left_ord", F.col("best.right_ord").alias("right_ord"), *[F.col(f"best.{p}").alias(p) for p in preference]))
         taken = now if taken is None else taken.unionByName(now)
-        open_ = cut(open_.join(now.select("left_ord"), "left_ord", "left_anti").join(now.select("right_ord"), "right_ord", "left_anti"))
+        left = cut(open_.join(now.select("left_ord"), "left_ord", "left_anti").join(now.select("right_ord"), "right_ord", "left_anti"))
+        drop(open_)
+        open_ = left
     return open_ if taken is None else taken
 
 
+def amount_bucket(amount: Column, limits: tuple[float, float]) -> Column:
+    """Numbers of buckets, in the order of amounts, of which an amount within tolerance is at most two away."""
+    share, least = limits
+    turn = least / share
+    return F.floor(F.when(amount < turn, amount / least).otherwise(turn / least + F.log(amount / turn) / math.log(1 + share)))
+
+
+def buckets_near(amount: Column, limits: tuple[float, float]) -> Column:
+    """The buckets of all amounts within tolerance; those at the edges with a little to spare for rounding."""
+    far = tolerance(amount, limits) * (1 + 1e-9)
+    return F.sequence(amount_bucket(F.greatest(amount - far, F.lit(0.0)), limits), amount_bucket(amount + far, limits))
+
+
 def near_amounts(left: DataFrame, right: DataFrame, key: str, steps: list[int], limits: tuple[float, float] = fixed.TOLERANCE) -> DataFrame:
-    """Pairs of equal key, with the right year off by one of the steps and amounts within tolerance: left_ord, right_ord, diff and step (the place of the year in steps). The right side, which has fewer rows, is repeated for each step, so the join is an equi-join on key and year."""
+    """Pairs of equal key, with the right year off by one of the steps and amounts within tolerance: left_ord, right_ord, diff, step (the place of the year in steps) and the key as `block`. An equi-join on key, year and bucket of amounts, for which the right side, which has fewer rows, is repeated for each step, and the left one for the few buckets within tolerance; so a hot key meets itself by amounts only."""
     offsets = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(s).alias("off")) for i, s in enumerate(steps)])
-    near = right.where((F.col(key) != "") & F.col("amount").isNotNull() & (F.col("amount") > 0)).select(F.col(key).alias("k"), "right_ord", F.col("amount").alias("right_amount"), "year", F.explode(offsets).alias("o"))
-    near = near.select("k", "right_ord", "right_amount", (F.col("year") - F.col("o.off")).alias("y"), F.col("o.step").alias("step"))
-    own = left.where((F.col(key) != "") & (F.col("amount") > 0)).select(F.col(key).alias("k"), F.col("year").alias("y"), "left_ord", "amount")
-    pairs = own.join(near, ["k", "y"]).withColumn("diff", F.abs(F.col("amount") - F.col("right_amount")))
-    return pairs.where(F.col("diff") <= tolerance(F.col("amount"), limits)).select("left_ord", "right_ord", "diff", "step")
+    near = right.where((F.col(key) != "") & F.col("amount").isNotNull() & (F.col("amount") > 0)).select(F.col(key).alias("block"), "right_ord", F.col("amount").alias("right_amount"), "year", F.explode(offsets).alias("o"))
+    near = near.select("block", "right_ord", "right_amount", (F.col("year") - F.col("o.off")).alias("y"), F.col("o.step").alias("step"), amount_bucket(F.col("right_amount"), limits).alias("bucket"))
+    own = left.where((F.col(key) != "") & (F.col("amount") > 0)).select(F.col(key).alias("block"), F.col("year").alias("y"), "left_ord", "amount", F.explode(buckets_near(F.col("amount"), limits)).alias("bucket"))
+    pairs = own.join(near, ["block", "y", "bucket"]).withColumn("diff", F.abs(F.col("amount") - F.col("right_amount")))
+    return pairs.where(F.col("diff") <= tolerance(F.col("amount"), limits)).select("left_ord", "right_ord", "diff", "step", "block")
+
+
+def near_words(left: DataFrame, right: DataFrame, words: str, counted: str, least_share: float, least: int, limits: tuple[float, float] = fixed.TOLERANCE) -> DataFrame:
+    """J10 beside a year and an amount: pairs that share one of the telling `words`, with years at most one apart and amounts within tolerance, whose `counted` words overlap enough; left_ord, right_ord and diff. Word, year and bucket of amounts are the join's key, so a common word is no hot one."""
+    a = left.where(F.col("amount") > 0).select("left_ord", "amount", F.col("year").alias("y"), F.col(counted).alias("words_a"), F.explode(F.array_distinct(words)).alias("t"))
+    a = a.withColumn("bucket", F.explode(buckets_near(F.col("amount"), limits)))
+    b = right.where(F.col("amount") > 0).select("right_ord", F.col("amount").alias("right_amount"), "year", F.col(counted).alias("words_b"), F.explode(F.array_distinct(words)).alias("t"), amount_bucket(F.col("amount"), limits).alias("bucket"))
+    b = b.withColumn("y", F.explode(F.array(F.col("year") - 1, F.col("year"), F.col("year") + 1)))
+    both = a.join(b, ["t", "y", "bucket"]).withColumn("diff", F.abs(F.col("amount") - F.col("right_amount"))).where(F.col("diff") <= tolerance(F.col("amount"), limits))
+    shared, smaller = F.size(F.array_intersect("words_a", "words_b")), F.least(F.size("words_a"), F.size("words_b"))
+    return both.where((smaller >= least) & (shared >= least) & (shared / smaller >= least_share)).select("left_ord", "right_ord", "diff").distinct()
 
 
 def shared_tokens(left: DataFrame, right: DataFrame, least_share: float = 0.6, least: int = 3) -> DataFrame:

@@ -79,6 +79,14 @@ def lots(notices: DataFrame, ids: str, arrays: list[str], fallbacks: dict[str, l
     return rows.select(ids, "lot_index", *[at(a).alias(a) for a in arrays if a not in fallbacks], *[F.coalesce(*[at(s) for s in of]).alias(name) for name, of in fallbacks.items()])
 
 
+def category_totals(df: DataFrame, category: str, measures: dict[str, str], otherwise: str) -> DataFrame:
+    """Per category, the sum of the column that counts for it."""
+    measure = F.col(otherwise)
+    for name, column in measures.items():
+        measure = F.when(F.col(category) == name, F.col(column)).otherwise(measure)
+    return df.groupBy(category).agg(F.sum(measure).alias("total"))
+
+
 def pivot_counts(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
     """Counts of a column's values as columns; the values are given, so no pass collects them."""
     return df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1)))

@@ -11,13 +11,34 @@ from contrata.operators.cut import cut
 
 #: Subsets and types that aren't subject to publication.
 SUBSETS_OUT = ["menores", "encargos", "consultas"]
+TYPES_OUT = ["Privado", "Patrimonial", "Administrativo Especial", "22", "999", "32"]
+
+
+def _award_steps(contracts: DataFrame) -> dict[str, Column]:
+    """The conditions of F1-F3 in their order."""
+    amount = values.number(F.col("importe_adjudicacion")).isNotNull() | values.number(F.col("importe_sin_iva")).isNotNull()
+    real = (F.col("tipo_registro") == "LICITACION") & F.col("estado").isin("Resuelta", "Adjudicada") & F.col("nif_adjudicatario").isNotNull() & amount
+    steps = {"awards": F.coalesce(real, F.lit(False))}
+    steps |= {subset: F.coalesce(F.col("conjunto") != subset, F.lit(True)) for subset in SUBSETS_OUT}
+    steps["types"] = ~F.coalesce(F.col("tipo_contrato").cast("string"), F.lit("")).isin(TYPES_OUT)
+    steps["years"] = F.coalesce(F.col("ano").between(2010, 2027), F.lit(False))
+    return steps
 
 
 def awarded(contracts: DataFrame) -> DataFrame:
-    """Awarded contracts with a winner, of the subsets that count, 2010 to 2027."""
-    kept = contracts.where(F.col("estado").isin("Resuelta", "Adjudicada") & F.col("nif_adjudicatario").isNotNull())
-    kept = kept.where(~F.coalesce(F.lower("conjunto").isin(SUBSETS_OUT), F.lit(False)))
-    return kept.where(F.col("ano").between(2010, 2027))
+    """Awarded contracts with a winner and any amount, without the subsets and types that aren't published, 2010 to 2027."""
+    for condition in _award_steps(contracts).values():
+        contracts = contracts.where(condition)
+    return contracts
+
+
+def award_report(contracts: DataFrame) -> DataFrame:
+    """how many rows each condition of `awarded` takes away from what those before it left; one aggregation."""
+    before, counts = F.lit(True), []
+    for name, condition in _award_steps(contracts).items():
+        counts.append(F.count_if(before & ~condition).alias(name))
+        before = before & condition
+    return contracts.agg(F.count("*").alias("rows"), *counts, F.count_if(before).alias("kept"))
 
 
 def classified(contracts: DataFrame) -> DataFrame:
@@ -54,13 +75,14 @@ def matched(left: DataFrame, right: DataFrame, aliases: DataFrame | None = None)
     aliases: organo, alias (both normalised, 40 characters).
     """
     short = lambda c: F.substring(text.buyer_key(F.col(c)), 1, 40)
-    left = cut(left.withColumns({"nif": identifiers.clean_nif(F.col("nif")), "nif_organo": identifiers.clean_nif(F.col("nif_organo")), "name": short("organo"), "file": F.upper(F.trim(F.coalesce("expediente", F.lit("")))), "tokens": text.tokens(text.buyer_key(F.col("organo")), 3)}).where("is_sara"))
-    right = cut(right.withColumns({"nif": identifiers.clean_nif(F.col("win_nif")), "nif_organo": identifiers.clean_nif(F.col("cae_nif")), "name": short("cae_name"), "file": F.upper(F.trim(F.coalesce("internal_id", F.lit("")))), "tokens": text.tokens(text.buyer_key(F.col("cae_name")), 3)}))
+    left = cut(left.withColumns({"nif": identifiers.clean_nif(F.col("nif")), "nif_organo": identifiers.clean_nif(F.col("nif_organo")), "name": short("organo"), "file": F.upper(F.trim(F.coalesce("expediente", F.lit("")))), "tokens": text.tokens(text.buyer_key(F.col("organo")), 3), "words": text.tokens(text.buyer_key(F.col("organo")))}).where("is_sara"))
+    right = cut(right.withColumns({"nif": identifiers.clean_nif(F.col("win_nif")), "nif_organo": identifiers.clean_nif(F.col("cae_nif")), "name": short("cae_name"), "file": F.upper(F.trim(F.coalesce("internal_id", F.lit("")))), "tokens": text.tokens(text.buyer_key(F.col("cae_name")), 3), "words": text.tokens(text.buyer_key(F.col("cae_name")))}))
 
     # E1 and E2 share their notices: one call, the winner's number before the file
-    by_winner = matching.near_amounts(left, right, "nif", [0, 1, -1]).withColumn("tier", F.lit(1))
-    own = left.where((F.length("file") >= 4) & (F.col("amount") > 0)).select("file", "left_ord", "amount")
-    by_file = own.join(right.where("amount > 0").select("file", "right_ord", F.col("amount").alias("right_amount")), "file").withColumn("diff", F.abs(F.col("amount") - F.col("right_amount")))
+    by_winner = matching.near_amounts(left, right, "nif", [0, 1, -1]).drop("block").withColumn("tier", F.lit(1))
+    own = left.where((F.length("file") >= 4) & (F.col("amount") > 0)).select("file", "left_ord", "amount", F.explode(matching.buckets_near(F.col("amount"), fixed.TOLERANCE)).alias("bucket"))
+    other = right.where("amount > 0").select("file", "right_ord", F.col("amount").alias("right_amount"), matching.amount_bucket(F.col("amount"), fixed.TOLERANCE).alias("bucket"))
+    by_file = own.join(other, ["file", "bucket"]).withColumn("diff", F.abs(F.col("amount") - F.col("right_amount")))
     by_file = by_file.where(F.col("diff") <= matching.tolerance(F.col("amount"))).select("left_ord", "right_ord", "diff", F.lit(0).alias("step"), F.lit(2).alias("tier"))
     found = matching.greedy(by_winner.unionByName(by_file), ["tier", "diff", "step"])
     found = found.select("left_ord", "right_ord", F.when(F.col("tier") == 1, "E1").otherwise("E2").alias("strategy"), "diff")
@@ -76,13 +98,13 @@ def matched(left: DataFrame, right: DataFrame, aliases: DataFrame | None = None)
         used = found.join(right.select("right_ord", "notice_id"), "right_ord").select("notice_id").distinct()
         return left.where(~F.coalesce("neg_sin_pub", F.lit(False))).join(found.select("left_ord"), "left_ord", "left_anti"), right.join(used, "notice_id", "left_anti").join(found.select("right_ord"), "right_ord", "left_anti")
 
-    def add(pairs: DataFrame, name: str) -> None:
+    def add(pairs: DataFrame, name: str, block: str | None = None) -> None:
         nonlocal found
-        new = matching.greedy(pairs, ["diff", "step"])
+        new = matching.greedy(pairs, ["diff", "step"], block=block)
         found = cut(found.unionByName(new.select("left_ord", "right_ord", F.lit(name).alias("strategy"), "diff")))
 
     open_, free = remaining()
-    add(matching.near_amounts(open_, free, "nif_organo", [0, -1, 1]), "E3")
+    add(matching.near_amounts(open_, free, "nif_organo", [0, -1, 1]), "E3", "block")
 
     # A buyer's year as one amount, against any of a notice's three
     open_, free = remaining()
@@ -99,17 +121,16 @@ def matched(left: DataFrame, right: DataFrame, aliases: DataFrame | None = None)
     found = cut(found.unionByName(rows.select("left_ord", "right_ord", F.lit("E4").alias("strategy"), "diff")))
 
     open_, free = remaining()
-    add(matching.near_amounts(open_.where("length(name) >= 6"), free, "name", [0, -1, 1]), "E5")
+    add(matching.near_amounts(open_.where("length(name) >= 6"), free, "name", [0, -1, 1]), "E5", "block")
     if aliases is not None:
         open_, free = remaining()
         named = open_.join(aliases.select(F.col("organo").alias("name"), "alias"), "name").drop("name").withColumnRenamed("alias", "name")
         pairs = matching.near_amounts(named, free, "name", [0, -1, 1]).groupBy("left_ord", "right_ord").agg(F.min(F.struct("diff", "step")).alias("d")).select("left_ord", "right_ord", "d.*")
         add(pairs, "E3b")
     open_, free = remaining()
-    alike = matching.shared_tokens(open_.where("length(name) >= 12 and size(tokens) >= 3"), free.where("size(tokens) >= 3"))
-    both = alike.join(open_.select("left_ord", "year", "amount"), "left_ord").join(free.select("right_ord", F.col("year").alias("right_year"), F.col("amount").alias("right_amount")), "right_ord")
-    both = both.withColumn("diff", F.abs(F.col("amount") - F.col("right_amount"))).where((F.abs(F.col("year") - F.col("right_year")) <= 1) & (F.col("diff") <= matching.tolerance(F.col("amount"))))
-    add(both.select("left_ord", "right_ord", "diff", F.lit(0).alias("step")), "E7")
+    # candidates share a word of more than three letters; the overlap counts those of more than two
+    alike = matching.near_words(open_.where("length(name) >= 12 and size(tokens) >= 3"), free.where("length(name) > 10"), "tokens", "words", 0.6, 3)
+    add(alike.withColumn("step", F.lit(0)), "E7")
 
     # The other lots of a file that has a match
     rest = left.join(found.select("left_ord", "right_ord"), "left_ord", "left").withColumn("matched", F.col("right_ord").isNotNull())
@@ -152,28 +173,72 @@ def bands(rows: DataFrame, amount: str, edges: list[float]) -> DataFrame:
     return rows.withColumn("band", band).where("band is not null").groupBy("band").agg(F.count("*").alias("n"), F.sum(amount).alias("total"))
 
 
-def false_positives(rows: DataFrame, buyers: DataFrame, files: DataFrame, factor: float = 1.1) -> DataFrame:
-    """Q9: missing contracts with four overlapping reasons to doubt: the buyer never publishes, the file is published under another amount, barely above the threshold, or without a buyer's number; and those with none."""
-    seen = buyers.where("nif_organo != ''").select(F.col("nif_organo").alias("__b")).distinct()
-    named = files.where("file != ''").select(F.col("file").alias("__f")).distinct()
-    out = rows.where("missing").join(seen, F.col("nif_organo") == F.col("__b"), "left").join(named, F.upper(F.trim("expediente")) == F.col("__f"), "left")
-    checks = {"buyer_unseen": F.col("__b").isNull(), "file_published": F.col("__f").isNotNull(), "near_threshold": F.coalesce(F.col("amount") < F.col("threshold") * factor, F.lit(False)), "no_buyer_nif": F.coalesce(F.col("nif_organo"), F.lit("")) == ""}
-    doubt = checks["buyer_unseen"] | checks["file_published"] | checks["near_threshold"] | checks["no_buyer_nif"]
-    return out.withColumns({**checks, "sure": ~doubt}).drop("__b", "__f")
+def at_least(rows: DataFrame, amount: str, limits: list[float]) -> DataFrame:
+    """Rows from each limit on; one aggregation."""
+    counts = rows.agg(*[F.count_if(F.col(amount) >= x).alias(f"n{i}") for i, x in enumerate(limits)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(float(x)).alias("least"), F.col(f"n{i}").alias("n")) for i, x in enumerate(limits)])).alias("r")).select("r.*")
+
+
+def diagnosis(rows: DataFrame, buyer: str = "organo_contratante", amount: str = "importe_adjudicacion") -> DataFrame:
+    """Q9: missing contracts with the overlapping reasons to doubt them: a buyer that no matched contract has, years before 2016, an amount between the lowest and the highest of the thresholds for services; whether their buyer's year has five or more of them, which may be lots of one notice; and sure, for those of buyers with matches, from 2016 and above all thresholds."""
+    seen = rows.where("is_matched").where(F.col(buyer).isNotNull()).select(F.col(buyer).alias("__b")).distinct()
+    out = rows.where("missing").join(seen, F.col(buyer) == F.col("__b"), "left").withColumn("buyer_seen", F.col("__b").isNotNull()).drop("__b")
+    groups = out.where(F.col(buyer).isNotNull() & F.col("year").isNotNull()).groupBy(F.col(buyer).alias("__b"), F.col("year").alias("__y")).agg(F.count("expediente").alias("__n"))
+    out = out.join(groups, (F.col(buyer) == F.col("__b")) & (F.col("year") == F.col("__y")), "left")
+    no = F.lit(False)
+    early, grey = F.coalesce(F.col("year").between(2010, 2015), no), F.coalesce((F.col(amount) >= 139_000) & (F.col(amount) < 221_000), no)
+    sure = F.col("buyer_seen") & F.coalesce((F.col("year") >= 2016) & (F.col(amount) >= 221_000), no)
+    return out.withColumns({"early": early, "grey": grey, "many": F.coalesce(F.col("__n") >= 5, no), "sure": sure}).drop("__b", "__y", "__n")
+
+
+def diagnosis_report(diagnosed: DataFrame) -> DataFrame:
+    """Q9: the classes' sizes and shares of all missing contracts; they overlap."""
+    n = F.count("*")
+    counts = {"buyer_unseen": F.count_if(~F.col("buyer_seen")), "early": F.count_if("early"), "grey": F.count_if("grey"), "many": F.count_if("many"), "sure": F.count_if("sure")}
+    one = diagnosed.agg(n.alias("missing"), *[c.alias(k) for k, c in counts.items()])
+    each = [F.struct(F.lit(k).alias("class"), F.col(k).alias("n"), values.percent(F.col(k), F.col("missing")).alias("share")) for k in counts]
+    return one.select("missing", F.explode(F.array(*each)).alias("c")).select("missing", "c.*")
 
 
-def buyer_profile(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Files, contracts and amounts of each buyer and year, with a label for how it buys: the first rule that holds."""
-    of = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.countDistinct("expediente").alias("n_files"), F.sum("amount").alias("total"), F.avg("amount").alias("mean"), F.percentile("amount", 0.5).alias("median"), F.stddev_samp("amount").alias("std"))
-    spread = F.coalesce(F.col("std"), F.lit(0.0)) / F.greatest(F.col("mean"), F.lit(1.0))
-    of = of.withColumn("per_file", F.col("n") / F.greatest("n_files", F.lit(1))).withColumn("variation", spread)
-    label = F.when(F.col("per_file") >= 3, "lots").when((F.col("n") >= 10) & (F.col("variation") < 0.3), "series").when(F.col("n") >= 10, "frequent").when(F.col("n") >= 3, "several").otherwise("individual")
-    return of.withColumn("pattern", label)
+def recoverable(rows: DataFrame, notices: DataFrame, key: str, limits: tuple[float, float] = (0.15, 10_000.0)) -> DataFrame:
+    """Q9: missing contracts that a wider tolerance finds a notice for, by the buyer's name or number: each, in order, the first free one of its own year, the year before or after. left_ord, right_ord. All rows are tried, so nothing is extrapolated."""
+    pairs = matching.near_amounts(rows, notices, key, [0, -1, 1], limits)
+    return matching.greedy(pairs.withColumn("place", F.col("right_ord")), ["step", "place"], block="block").select("left_ord", "right_ord")
 
 
-def adjusted_coverage(rows: DataFrame, patterns: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched, of matched, single missing contracts and groups of missing lots, each group once."""
-    gone = rows.where("missing").join(patterns.select(*keys, "pattern"), keys, "left")
-    groups = gone.where("pattern = 'lots'").select(*keys).distinct().agg(F.count("*").alias("n_groups"))
-    counts = rows.agg(F.count_if("is_matched").alias("matched")).join(gone.agg(F.count_if(F.coalesce(F.col("pattern") != "lots", F.lit(True))).alias("single"))).join(groups)
-    return counts.withColumn("coverage", values.percent(F.col("matched"), F.col("matched") + F.col("single") + F.col("n_groups")))
+def coverage_by_year(rows: DataFrame, notices: DataFrame) -> DataFrame:
+    """Q9: contracts above the threshold by year, matched and missing, the share missing, and notices for each contract."""
+    own = rows.where("is_sara").where(F.col("year").between(2010, 2026)).groupBy("year").agg(F.count("*").alias("sara"), F.count_if("is_matched").alias("matched"), F.count_if("missing").alias("missing"))
+    out = own.join(notices.groupBy("year").agg(F.count("*").alias("notices")), "year", "left").withColumn("notices", F.coalesce("notices", F.lit(0)))
+    return out.withColumns({"share_missing": values.percent(F.col("missing"), F.col("sara")), "ratio": F.bround(F.col("notices") / F.greatest("sara", F.lit(1)), 2)})
+
+
+#: The lowest threshold, which the simple validation uses for all contracts.
+LEAST_THRESHOLD = 140_000.0
+
+
+def simple_validation(contracts: DataFrame, notices: DataFrame) -> DataFrame:
+    """Q8: contracts from the lowest threshold on against notices: by the winner's number, else by the file, each notice once; with validated, strategy, missing (not minor, 2010 to 2025) and excess over the threshold.
+
+    contracts: left_ord, nif, expediente, year, amount, is_minor. notices: right_ord, win_nif, internal_id, year, amount.
+    """
+    left = contracts.withColumns({"nif": identifiers.clean_nif(F.col("nif")), "file": F.upper(F.trim(F.coalesce("expediente", F.lit(""))))})
+    right = notices.withColumns({"nif": identifiers.clean_nif(F.col("win_nif")), "file": F.upper(F.trim(F.coalesce("internal_id", F.lit(""))))})
+    over = cut(left.where((F.col("amount") >= LEAST_THRESHOLD) & (F.length("nif") >= 5) & F.col("year").isNotNull()))
+    by_winner = matching.near_amounts(over, right, "nif", [0, 1, -1]).drop("block").withColumn("tier", F.lit(1))
+    everywhen = lambda df: df.where(F.length("file") >= 4).withColumn("year", F.lit(0))
+    by_file = matching.near_amounts(everywhen(over), everywhen(right), "file", [0]).drop("block").withColumn("tier", F.lit(2))
+    found = matching.greedy(by_winner.unionByName(by_file), ["tier", "diff", "step"])
+    out = left.join(found.select("left_ord", "right_ord", F.when(F.col("tier") == 1, "nif").otherwise("file").alias("strategy")), "left_ord", "left")
+    validated = F.col("strategy").isNotNull()
+    missing = F.coalesce((F.col("amount") >= LEAST_THRESHOLD) & F.col("year").between(2010, 2025), F.lit(False)) & ~validated & ~F.coalesce("is_minor", F.lit(False))
+    return out.withColumns({"validated": validated, "missing": missing, "excess": F.when(missing, F.col("amount") - LEAST_THRESHOLD)})
+
+
+def notice_indicators(rows: DataFrame, entity: str) -> DataFrame:
+    """Per buyer or winner, the share of its contracts above the lowest threshold that are missing, if it has three of them at least, and the share of all that are validated."""
+    over = F.count_if(F.coalesce(F.col("amount") >= LEAST_THRESHOLD, F.lit(False)))
+    of = rows.groupBy(entity).agg(F.count("*").alias("n"), over.alias("n_over"), F.count_if("missing").alias("n_missing"), F.count_if("validated").alias("n_validated"))
+    enough = F.col("n_over") >= 3
+    share = lambda a, b: 100.0 * F.col(a) / F.col(b)
+    return of.select(entity, "n_validated", share("n_validated", "n").alias("share_validated"), F.when(enough, F.col("n_over")).alias("n_over"), F.when(enough, F.col("n_missing")).alias("n_missing"), F.when(enough, share("n_missing", "n_over")).alias("share_missing"))

@@ -24,7 +24,9 @@ SELECT o.o_orderkey AS id, o.o_orderkey AS row_ord, o.o_custkey AS buyer,
   CASE o.o_orderkey % 4 WHEN 0 THEN 'Obras' WHEN 1 THEN 'Servicios' WHEN 2 THEN 'Suministros' ELSE 'Privado' END AS tipo_contrato,
   CASE o.o_orderkey % 3 WHEN 0 THEN 'Adjudicada' WHEN 1 THEN 'Resuelta' ELSE 'Publicada' END AS estado,
   CASE WHEN o.o_orderkey % 7 = 0 THEN 'Contrato menor' ELSE 'Abierto' END AS procedimiento,
-  CASE WHEN o.o_orderkey % 10 = 0 THEN 'menores' ELSE 'licitaciones' END AS conjunto,
+  CASE WHEN o.o_orderkey % 10 = 0 THEN 'menores' WHEN o.o_orderkey % 41 = 0 THEN 'encargos' WHEN o.o_orderkey % 43 = 0 THEN 'consultas' ELSE 'licitaciones' END AS conjunto,
+  CASE WHEN o.o_orderkey % 37 = 0 THEN 'CONSULTA' ELSE 'LICITACION' END AS tipo_registro,
+  concat(CASE o.o_custkey % 9 WHEN 0 THEN 'Servicio Andaluz de Salud' WHEN 1 THEN 'Hospital Clinico de Madrid' WHEN 2 THEN 'Osakidetza' WHEN 3 THEN 'Ib.Salut Palma' WHEN 4 THEN 'Ayuntamiento de Sevilla' WHEN 5 THEN 'Universidad de Murcia' WHEN 6 THEN 'Consorcio Sanitario SERGAS' WHEN 7 THEN 'INGESA Ceuta' ELSE 'Diputacion Foral' END, ' ', CAST(o.o_custkey % 40 AS STRING)) AS organo_contratante,
   CASE WHEN o.o_orderkey % 31 = 0 THEN 'abc' ELSE concat(CAST(o.o_custkey % 9 AS STRING), '3', CAST(100000 + o.o_orderkey % 800000 AS STRING)) END AS cpv_principal,
   CASE WHEN o.o_orderkey % 5 = 0 THEN 'FR10' ELSE concat('es', CAST(o.o_custkey % 52 AS STRING)) END AS nuts,
   concat(lpad(CAST(o.o_custkey AS STRING), 8, '0'), substr('TRWAGMYFPDXBNJZSQVHLCKE', CAST((o.o_custkey + CASE WHEN o.o_orderkey % 6 = 0 THEN 1 ELSE 0 END) % 23 AS INT) + 1, 1)) AS nif_adjudicatario,
@@ -181,7 +183,7 @@ def _any_sql(parts: list[str]) -> str:
     return "(" + " OR ".join(f"contains(upper(dependencia), '{p.upper()}')" for p in parts) + ")"
 
 
-SARA_SQL = f"""WITH c AS (SELECT *, {_any_sql(fixed.UTILITIES)} AS utility, {_any_sql(fixed.STATE)} AS state FROM ({CONTRACTS_SQL}) x WHERE estado IN ('Resuelta', 'Adjudicada') AND conjunto <> 'menores' AND ano BETWEEN 2010 AND 2027),
+SARA_SQL = f"""WITH c AS (SELECT *, {_any_sql(fixed.UTILITIES)} AS utility, {_any_sql(fixed.STATE)} AS state FROM ({CONTRACTS_SQL}) x WHERE tipo_registro = 'LICITACION' AND estado IN ('Resuelta', 'Adjudicada') AND (importe_adjudicacion IS NOT NULL OR importe_sin_iva IS NOT NULL) AND conjunto NOT IN ('menores', 'encargos', 'consultas') AND tipo_contrato NOT IN ('Privado', 'Patrimonial', 'Administrativo Especial', '22', '999', '32') AND ano BETWEEN 2010 AND 2027),
 t AS (SELECT *, coalesce(importe_sin_iva, importe_adjudicacion) AS amount, {_threshold_sql()} AS threshold FROM c),
 lots AS (SELECT expediente, sum(amount) AS lots_sum, count(amount) AS n_lots FROM t WHERE threshold IS NOT NULL GROUP BY 1 HAVING count(amount) >= 2 AND sum(amount) >= min(threshold)),
 r AS (SELECT t.*, coalesce(amount >= threshold, false) AS is_individual, n_lots FROM t LEFT JOIN lots USING (expediente)),
@@ -202,12 +204,6 @@ def g14(spark, sf_dir):
     return coverage.bands(sara(spark, sf_dir), "amount", [0.0, 1e5, 2e5, 3e5]).withColumn("total", F.round("total", 2))
 
 
-@register("q10_buyer_profile", SARA_SQL + ", g AS (SELECT dependencia, ano, count(*) AS n, count(DISTINCT expediente) AS n_files, sum(amount) AS total, avg(amount) AS mean, quantile_cont(amount, 0.5) AS median, stddev_samp(amount) AS std FROM s GROUP BY 1, 2) SELECT dependencia, ano, n, n_files, round(total, 1) AS total, round(median, 3) AS median, round(coalesce(std, 0) / greatest(mean, 1), 6) AS variation, CASE WHEN n / greatest(n_files, 1) >= 3 THEN 'lots' WHEN n >= 10 AND coalesce(std, 0) / greatest(mean, 1) < 0.3 THEN 'series' WHEN n >= 10 THEN 'frequent' WHEN n >= 3 THEN 'several' ELSE 'individual' END AS pattern FROM g")
-def q10(spark, sf_dir):
-    of = coverage.buyer_profile(sara(spark, sf_dir), ["dependencia", "ano"])
-    return of.select("dependencia", "ano", "n", "n_files", F.round("total", 1).alias("total"), F.round("median", 3).alias("median"), F.round("variation", 6).alias("variation"), "pattern")
-
-
 def _sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Orders as contracts; those of other priorities, repriced, as notices."""
     c = contracts(spark, sf_dir).where("row_ord % 2 = 0")
@@ -396,12 +392,12 @@ def p4(spark, sf_dir):
 
 def _matched(spark, sf_dir) -> DataFrame:
     """Classified contracts, one in five of them with a notice and one in 22 negotiated without publicity."""
-    left = sara(spark, sf_dir).select(F.col("id").alias("left_ord"), F.col("ano").alias("year"), "amount", "expediente", "is_sara", (F.col("id") % 22 == 0).alias("neg_sin_pub"))
+    left = sara(spark, sf_dir).select(F.col("id").alias("left_ord"), "ano", F.col("ano").alias("year"), "amount", "expediente", "is_sara", "organo_contratante", "importe_adjudicacion", "nif_adjudicatario", "cpv_principal", "tipo_contrato", "conjunto", (F.col("id") % 22 == 0).alias("neg_sin_pub"))
     found = left.where("left_ord % 5 = 0").select("left_ord", F.col("left_ord").alias("right_ord"), F.lit("E1").alias("strategy"))
     return coverage.with_matches(left, found)
 
 
-MATCHED_SQL = SARA_SQL + ", q AS (SELECT id, ano, amount, expediente, is_individual OR sara_by_lots AS is_sara, id % 5 = 0 AS is_matched FROM s), m AS (SELECT *, is_sara AND NOT is_matched AS missing_all, is_sara AND NOT is_matched AND id % 22 <> 0 AS missing FROM q) "
+MATCHED_SQL = SARA_SQL + ", q AS (SELECT id, ano, amount, expediente, organo_contratante, importe_adjudicacion, nif_adjudicatario, cpv_principal, tipo_contrato, conjunto, is_individual OR sara_by_lots AS is_sara, id % 5 = 0 AS is_matched FROM s), m AS (SELECT *, is_sara AND NOT is_matched AS missing_all, is_sara AND NOT is_matched AND id % 22 <> 0 AS missing FROM q) "
 
 
 @register("q6_missing", MATCHED_SQL + "SELECT id AS left_ord, is_matched, missing_all, missing FROM m")

@@ -23,7 +23,7 @@ def is_minor(df: DataFrame) -> Column:
 
 
 def with_indicators(df: DataFrame) -> DataFrame:
-    """df with the base indicators that its columns allow, true, false or null; and es_menor. One pass, and one aggregation per group percentile."""
+    """df with the base indicators that its columns allow, true, false or null; and es_menor. One pass, and one for all group percentiles."""
     have = set(df.columns)
     pick = lambda *names: next((n for n in names if n in have), None)
     amount = {c: values.number(F.col(c)) for c in ("importe_sin_iva", "importe_con_iva", "importe_adjudicacion", "importe_adj_con_iva") if c in have}
@@ -38,7 +38,7 @@ def with_indicators(df: DataFrame) -> DataFrame:
     offers = values.number(F.col("num_ofertas")) if "num_ofertas" in have else None
     out["val_04"] = offers.isNull() | (offers % 1 == 0) if offers is not None else none
     out["val_05"] = offers.isNull() | (offers >= 0) if offers is not None else none
-    dates = {c: F.col(c).cast("timestamp") for c in ("fecha_publicacion", "fecha_adjudicacion", "fecha_limite") if c in have}
+    dates = {c: F.col(c).try_cast("timestamp") for c in ("fecha_publicacion", "fecha_adjudicacion", "fecha_limite") if c in have}
     for name, c in (("val_06", "fecha_publicacion"), ("val_07", "fecha_adjudicacion")):
         out[name] = _yes(dates[c].between(F.lit(fixed.FIRST_DATE).cast("timestamp"), F.lit(fixed.LAST_DATE).cast("timestamp"))) if c in have else none
     out["val_09"] = identifiers.valid_cpv(F.col("cpv_principal")) if "cpv_principal" in have else none
@@ -65,17 +65,19 @@ def with_indicators(df: DataFrame) -> DataFrame:
     has = lambda c: F.col(c).isNotNull() if c in have else F.lit(False)
     out["fia_11"] = has("expediente") & (has("url") | has("id"))
     df = df.withColumns({**out, "es_menor": minor})
-    grouped = "cpv_principal" in have
+    grouped, wanted, temporary = "cpv_principal" in have, {}, {}
+    if offers is not None:
+        temporary["__offers"], wanted["__offers_99"] = offers, ("__offers", 0.99)
+    if award:
+        temporary["__award"] = amount[award]
+        wanted |= {"__award_01": ("__award", 0.01), "__award_99": ("__award", 0.99)}
+    if grouped and wanted:
+        df = df.withColumns({"__division": identifiers.cpv_division(F.col("cpv_principal")), **temporary})
+        df = windows.with_group_percentiles(df, ["__division"], wanted)
     if offers is not None:
         fine = offers.isNull() | offers.between(0, fixed.MOST_OFFERS)
-        if grouped:
-            df = df.withColumns({"__division": identifiers.cpv_division(F.col("cpv_principal")), "__offers": offers})
-            df = windows.with_percentiles(df, ["__division"], "__offers", __offers_99=0.99)
-            fine = fine & (offers.isNull() | (offers <= F.coalesce("__offers_99", F.lit(float(fixed.MOST_OFFERS)))))
-        df = df.withColumn("fia_01", fine)
+        df = df.withColumn("fia_01", fine & (offers.isNull() | (offers <= F.coalesce("__offers_99", F.lit(float(fixed.MOST_OFFERS))))) if grouped else fine)
     if award and grouped:
-        df = df.withColumns({"__division": identifiers.cpv_division(F.col("cpv_principal")), "__award": amount[award]})
-        df = windows.with_percentiles(df, ["__division"], "__award", __award_01=0.01, __award_99=0.99)
         df = df.withColumn("fia_09", F.when(F.col("__award") > 0, F.col("__award").between(F.col("__award_01"), F.col("__award_99"))).otherwise(True))
     df = df.withColumns({c: none for c in ("fia_01", "fia_09") if c not in df.columns})
     return df.drop(*[c for c in df.columns if c.startswith("__")])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from functools import reduce
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -22,31 +23,62 @@ def parquet(spark: SparkSession, *paths: str, columns: list[str] | None = None)
     return df.select(*[c for c in columns if c in df.columns]) if columns else df
 
 
-def sniff(spark: SparkSession, path: str) -> tuple[str, str, list[str]]:
-    """Encoding, separator and header by the head of the first file: the first encoding that decodes, the separator with most columns in the first line."""
-    head = bytes(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.substring("content", 1, 65536).alias("head")).orderBy("head").first().head)
+HEAD = 1 << 16
+
+
+def heads(spark: SparkSession, path: str) -> dict[str, bytes]:
+    """The first HEAD bytes of each file, in the order of their names; no file is read further."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    out, found = {}, fs.listFiles(folder, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            stream = fs.open(file)
+            out[file.toString()] = bytes(stream.readNBytes(HEAD))
+            stream.close()
+    return dict(sorted(out.items()))
+
+
+def sniff(head: bytes) -> tuple[str, str, tuple[str, ...]]:
+    """Encoding, separator and header by a file's head: the first encoding that decodes, the separator with most columns in the first line."""
     encoding, text = ENCODINGS[1], head.decode("latin-1")
     try:
         encoding, text = ENCODINGS[0], head.decode("utf-8-sig")
     except UnicodeDecodeError as error:
-        if error.start >= len(head) - 4:  # only the cut of the head is broken
+        if len(head) == HEAD and error.start >= len(head) - 4:  # only the cut of the head is broken
             encoding, text = ENCODINGS[0], head[: error.start].decode("utf-8-sig")
     line = text.splitlines()[0] if text.splitlines() else ""
     separator = max(SEPARATORS, key=lambda s: (len(line.split(s)), -SEPARATORS.index(s)))
-    return encoding, separator, [c.strip().strip('"') for c in line.split(separator)]
+    return encoding, separator, _header(line, separator)
+
+
+def _header(line: str, separator: str) -> tuple[str, ...]:
+    names = [c.strip().strip('"') for c in line.split(separator)]
+    return tuple(n or f"unnamed:_{i}" for i, n in enumerate(names))
 
 
 def delimited(spark: SparkSession, path: str, separator: str | None = None, encoding: str | None = None) -> DataFrame:
-    """All columns text; lines with too many fields are left out, those with too few end in nulls."""
-    own_encoding, own_separator, names = sniff(spark, path)
-    separator, encoding = separator or own_separator, encoding or own_encoding
-    if separator != own_separator:
-        names = spark.read.option("encoding", encoding).option("sep", separator).option("header", "true").csv(path).columns
-    names = [n or f"unnamed:_{i}" for i, n in enumerate(names)]
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
-    rows = spark.read.schema(schema).option("encoding", encoding).option("sep", separator).option("header", "true").option("enforceSchema", "true").option("mode", "PERMISSIVE").option("multiLine", "false").csv(path)
-    # one column more than the header tells which lines are too long
-    return rows.where(F.col(f"c{len(names)}").isNull()).drop(f"c{len(names)}").toDF(*names)
+    """All columns text; lines with too many fields, empty ones too, are left out, those with too few end in nulls. Each file is read by its own encoding, separator and header; files alike in these are read together, and columns that a file hasn't got are null."""
+    alike: dict[tuple, list[str]] = {}
+    for file, head in heads(spark, path).items():
+        own_encoding, own_separator, names = sniff(head)
+        if separator and separator != own_separator:
+            names = _header(head.decode(encoding or own_encoding, "replace").removeprefix("\ufeff").splitlines()[0] if head else "", separator)
+        alike.setdefault((encoding or own_encoding, separator or own_separator, names), []).append(file)
+    frames = [_alike(spark, files, *of) for of, files in alike.items() if of[2] != ("unnamed:_0",)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], T.StructType([]))
+
+
+def _alike(spark: SparkSession, files: list[str], encoding: str, separator: str, names: tuple[str, ...]) -> DataFrame:
+    schema = T.StructType([*[T.StructField(f"c{i}", T.StringType()) for i in range(len(names))], T.StructField("line", T.StringType())])
+    reader = spark.read.schema(schema).option("encoding", encoding).option("sep", separator).option("header", "true").option("enforceSchema", "true")
+    # a line whose fields aren't as many as the names is told whole; it is too long if it has more separators outside quotes
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "line").option("columnPruning", "false").csv(files)
+    bare = F.regexp_replace("line", '"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit(""))) + 1
+    return rows.where(F.col("line").isNull() | (fields <= len(names))).drop("line").toDF(*names)
 
 
 def json_pages(spark: SparkSession, path: str, items: str = "items") -> DataFrame:
@@ -86,10 +118,22 @@ def xml_entries(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def valid_files(files: DataFrame, least: int = 100) -> DataFrame:
-    """Files that aren't too small and begin like an archive, workbook, JSON or PDF."""
+    """Files that aren't too small, begin like an archive, workbook, JSON or PDF, and aren't a page that tells of an error."""
     head = F.hex(F.substring("content", 1, 4))
     known = head.startswith("504B0304") | head.startswith("D0CF11E0") | head.startswith("7B") | head.startswith("5B") | head.startswith("25504446")
-    return files.where((F.col("length") >= least) & known)
+    page = F.lower(F.decode(F.substring("content", 1, 512), "ISO-8859-1")).rlike(r"^\s*(?:<!doctype html|<html)")
+    return files.where((F.col("length") >= least) & known & ~page)
+
+
+def gazettes(spark: SparkSession, path: str, name: str = "BORME-A-*.pdf.txt") -> DataFrame:
+    """(path, text) of the gazettes' extracted text under a folder, one file a row."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name).option("recursiveFileLookup", "true").load(path)
+    return files.select("path", F.decode("content", "UTF-8").alias("text"))
+
+
+def by_keys(state: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The state's rows of the wanted keys, by one join."""
+    return state.join(wanted.select(*keys).distinct(), keys, "left_semi")
 
 
 def sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
@@ -147,10 +191,13 @@ class _Page(HTMLParser):
     def __init__(self):
         super().__init__()
         self.pairs, self.tables, self._term, self._said, self._cell, self._row = [], [], None, None, None, None
+        self.title, self._title = "", False
 
     def handle_starttag(self, tag, attrs):
         if tag in ("dt", "dd"):
             self._said = []
+        elif tag == "title":
+            self._title = True
         elif tag == "table":
             self.tables.append({"header": [], "rows": []})
         elif tag == "tr" and self.tables:
@@ -166,6 +213,8 @@ class _Page(HTMLParser):
             elif self._term is not None:
                 self.pairs.append({"label": self._term, "value": said})
             self._said = None
+        elif tag == "title":
+            self.title, self._title = " ".join(self.title.split()), False
         elif tag in ("td", "th") and self._cell is not None:
             self._row.append(" ".join("".join(self._cell).split()))
             self._cell = None
@@ -177,12 +226,14 @@ class _Page(HTMLParser):
             self._row = None
 
     def handle_data(self, data):
+        if self._title:
+            self.title += data
         for part in (self._cell, self._said):
             if part is not None:
                 part.append(data)
 
 
-PAGE = "pairs array<struct<label: string, value: string>>, tables array<struct<header: array<string>, rows: array<array<string>>>>"
+PAGE = "title string, pairs array<struct<label: string, value: string>>, tables array<struct<header: array<string>, rows: array<array<string>>>>"
 
 
 def html_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -197,7 +248,7 @@ def html_pages(pages: DataFrame, key: str, html: str) -> DataFrame:
                 page.feed(text or "")
                 page.close()
                 done.append(page)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([p.pairs for p in done], pa.list_(pa.struct([("label", pa.string()), ("value", pa.string())]))), pa.array([p.tables for p in done], pa.list_(kind))], names=[key, "pairs", "tables"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([p.title for p in done], pa.string()), pa.array([p.pairs for p in done], pa.list_(pa.struct([("label", pa.string()), ("value", pa.string())]))), pa.array([p.tables for p in done], pa.list_(kind))], names=[key, "title", "pairs", "tables"])
 
     kind = dict(pages.dtypes)[key]
     return pages.select(key, F.col(html).cast("string").alias(html)).mapInArrow(parse, f"`{key}` {kind}, {PAGE}")
@@ -227,37 +278,3 @@ def party_id(ids: Column, scheme: str) -> Column:
 def parent_chain(levels: list[Column]) -> Column:
     """Names of nested parents, the outermost first, as A > B > C; levels: from the innermost, null where there is none."""
     return F.array_join(F.reverse(F.filter(F.array(*levels), lambda x: x.isNotNull())), " > ")
-
-
-def gazette_entries(pages: DataFrame, key: str, body: str) -> DataFrame:
-    """Numbered entries of gazette text: entry number, company and body; noise lines are gone. An entry begins at a line `123456 - NAME` and ends where the next begins."""
-    lines = F.filter(F.split(F.coalesce(F.col(body), F.lit("")), "\n"), lambda x: ~F.trim(x).rlike(r"^(BOLETÍN OFICIAL|Pág\.|cve:|Verificable en|http)") & (F.trim(x) != ""))
-    clean = F.concat(F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n"))
-    starts = F.regexp_extract_all(clean, F.lit(r"(?s)\n\s*(\d{3,7}) - ((?:(?!\n\s*\d{3,7} - ).)*)"), F.lit(0))
-    entries = pages.select(key, F.posexplode(starts).alias("entry_index", "entry"))
-    number = F.regexp_extract("entry", r"^\s*(\d{3,7}) - ", 1).cast("int")
-    rest = F.regexp_replace(F.regexp_replace("entry", r"^\s*\d{3,7} - ", ""), r"\s+", " ")
-    company = F.trim(F.regexp_extract(rest, r"^(.*?)\.(?= [A-ZÁÉÍÓÚ][a-záéíóúñ]+|\s*$)", 1))
-    return entries.select(key, "entry_index", number.alias("num_entrada"), company.alias("empresa"), F.trim(rest).alias("cuerpo"))
-
-
-#: Sections that officers stand under.
-SECTIONS = {"Nombramientos": "nombramiento", "Reelecciones": "reeleccion", "Ceses/Dimisiones": "cese", "Revocaciones": "revocacion"}
-
-
-def officers(entries: DataFrame, body: str) -> DataFrame:
-    """A row for each person of `Office: NAME; NAME`, with the section that stands before it, `nombramiento` without one."""
-    pattern = r"([A-ZÁÉÍÓÚ][A-Za-zÁÉÍÓÚáéíóúñ./ ]{1,40}): ((?:[A-ZÁÉÍÓÚÑÜ' .-]{2,}(?:;|(?=\.)|$))+)"
-    sections = "|".join(SECTIONS)
-    parts = F.split(F.regexp_replace(F.coalesce(F.col(body), F.lit("")), f"({sections})\\.", "\u0001$1\u0002"), "\u0001")
-    rows = entries.select(*entries.columns, F.explode(parts).alias("__part"))
-    label = F.regexp_extract("__part", f"^({sections})\u0002", 1)
-    kind = None
-    for name, value in SECTIONS.items():
-        kind = F.when(label == name, value) if kind is None else kind.when(label == name, value)
-    rows = rows.withColumn("tipo_acto", kind.otherwise("nombramiento")).withColumn("__said", F.regexp_replace("__part", f"^({sections})\u0002", ""))
-    found = F.arrays_zip(F.regexp_extract_all("__said", F.lit(pattern), F.lit(1)).alias("cargo"), F.regexp_extract_all("__said", F.lit(pattern), F.lit(2)).alias("names"))
-    rows = rows.withColumn("__f", F.explode(found)).withColumn("cargo", F.trim("__f.cargo")).withColumn("persona", F.explode(F.split("__f.names", ";")))
-    rows = rows.withColumn("persona", F.trim(F.regexp_replace("persona", r"[.\s]+$", "")))
-    words = F.size(F.filter(F.split("persona", r"\s+"), lambda w: F.length(w) > 1))
-    return rows.where(words >= 2).drop("__part", "__said", "__f")

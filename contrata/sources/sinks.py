@@ -34,7 +34,7 @@ def upsert(state: DataFrame | None, batch: DataFrame, keys: list[str], order: st
     rows = batch.withColumn("__new", F.lit(1))
     if state is not None:
         rows = rows.unionByName(state.withColumn("__new", F.lit(0)), allowMissingColumns=True)
-    return dedupe.one_per_key(rows, keys, F.col("__new").desc(), F.col(order).desc_nulls_last()).drop("__new")
+    return dedupe.one_per_key(rows, keys, [F.col("__new"), F.col(order)], last=True).drop("__new")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

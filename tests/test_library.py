@@ -1,6 +1,7 @@
 """Scalar functions, quality indicators, readers, sinks, layouts and incremental state on small fixtures."""
 
 import io
+import json
 import zipfile
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from contrata.functions import identifiers, text, values
 from contrata.operators import reshape, windows
 from contrata.plans import companies, quality
-from contrata.sources import layouts, readers, sinks
+from contrata.sources import feeds, gazette, layouts, readers, sinks
 from contrata.streaming import incremental
 
 
@@ -128,7 +129,16 @@ def test_readers(spark, tmp_path):
     assert [tuple(r) for r in readers.delimited(spark, str(tmp_path / "a.csv")).collect()] == [("1", "Peña"), ("2", None)]
     (tmp_path / "b.csv").write_bytes("id§año\n1§Peña\n".encode("latin-1"))
     assert [tuple(r) for r in readers.delimited(spark, str(tmp_path / "b.csv")).collect()] == [("1", "Peña")]
-    assert readers.sniff(spark, str(tmp_path / "b.csv"))[:2] == ("ISO-8859-1", "§")
+    assert readers.sniff((tmp_path / "b.csv").read_bytes())[:2] == ("ISO-8859-1", "§")
+    mixed = tmp_path / "mixed"
+    mixed.mkdir()
+    (mixed / "1.csv").write_bytes("id;n\n1;Peña\n2;x;\n3;\"a;b\"\n".encode())
+    (mixed / "2.csv").write_bytes("id,año\n4,2020\n".encode("latin-1"))
+    (mixed / "3.csv").write_bytes(b"id;n\n5;y\n")
+    (mixed / "4.csv").write_bytes(b"")
+    got = readers.delimited(spark, str(mixed))
+    assert sorted((r["id"], r["n"], r["año"]) for r in got.collect()) == [("1", "Peña", None), ("3", "a;b", None), ("4", None, "2020"), ("5", "y", None)]
+    assert sorted(r["n"] for r in got.select("n").where("n is not null").collect()) == ["Peña", "a;b", "y"]
     (tmp_path / "p.json").write_text('{"items": [{"id": 1, "n": {"x": 2}}, {"id": 2}]}')
     assert readers.json_pages(spark, str(tmp_path / "p.json")).count() == 2
     for i, body in enumerate(['[{"a": 1}, {"a": 2}]', '{"data": [{"a": 3}]}', '{"k": {"a": 4}, "l": {"a": 5}}']):
@@ -164,12 +174,83 @@ def test_workbooks_and_pages(spark, tmp_path):
     assert [tuple(r) for r in got] == [(1, "1.234,56 €", 2), (2, None, 0)]
 
 
+GAZETTE = """BOLETÍN OFICIAL DEL REGISTRO MERCANTIL
+Núm. 12 Lunes 3 de enero Pág. 7
+SECCIÓN PRIMERA
+12345 - EMPRESA UNO SL.
+Constitución. Comienzo de operaciones: 1.01.20. Objeto social: COMERCIO. Domicilio: C/ MAYOR 1 (MADRID). Capital: 3.000,50 Euros.
+Nombramientos. Adm. Unico: PEREZ LOPEZ ANA;GARCIA RUIZ LUIS. Apoderado: RUIZ PAZ EVA. Ceses/Dimisiones. Apoderado: SOLO GIL EVA. Datos registrales. T 1 , F
+cve
+12346 - GRUPO DOS Sociedad Limitada Laboral.
+Cambio de domicilio social. C/ NUEVA 2. Datos registrales. T 41234, L 0, F 12, S 8, H M 567890, I/A 3 (5.01.20).
+12347 - TRES SOCIEDAD ANONIMA. Fe de erratas: NADA.
+12348 - CUATRO SA. Otros conceptos: UNA COSA. Revocaciones. Apo.Sol.: UNO DOS. Algo raro: TEXTO
+"""
+
+
 def test_gazette(spark):
-    body = "BOLETÍN OFICIAL DEL REGISTRO\n12345 - EMPRESA UNO SL.\nConstitución. Capital: 3.000 Euros. Nombramientos. Adm. Unico: PEREZ LOPEZ ANA;GARCIA RUIZ LUIS. Ceses/Dimisiones. Apoderado: SOLO GIL EVA.\n12346 - EMPRESA DOS SA.\nCambio de domicilio social."
-    entries = readers.gazette_entries(spark.createDataFrame([("f", body)], "pdf string, body string"), "pdf", "body")
-    assert [(r.num_entrada, r.empresa) for r in entries.orderBy("entry_index").collect()] == [(12345, "EMPRESA UNO SL"), (12346, "EMPRESA DOS SA")]
-    got = readers.officers(entries, "cuerpo").collect()
-    assert sorted((r.persona, r.tipo_acto) for r in got) == [("GARCIA RUIZ LUIS", "nombramiento"), ("PEREZ LOPEZ ANA", "nombramiento"), ("SOLO GIL EVA", "cese")]
+    pages = spark.createDataFrame([("/x/2020/1/7/BORME-A-2020-4-28.pdf", GAZETTE), ("/x/other.pdf", GAZETTE)], "path string, body string")
+    named = gazette.named(pages, "path")
+    entries = gazette.entries(named, "path", "body").orderBy("entry_index")
+    got = entries.collect()
+    assert [(r.num_entrada, r.empresa, r.empresa_norm) for r in got] == [("12345", "EMPRESA UNO SL", "EMPRESA UNO"), ("12346", "GRUPO DOS Sociedad Limitada Laboral", "GRUPO DOS"), ("12347", "TRES SOCIEDAD ANONIMA", "TRES"), ("12348", "CUATRO SA", "CUATRO")]
+    assert {(r.fecha_borme, r.num_borme, r.cod_provincia, r.tipo_borme) for r in got} == {("2020-01-07", 4, "28", "A")}
+    one, two, three, _ = got
+    assert (one.fecha_constitucion, one.objeto_social, one.domicilio, one.capital_euros) == ("1.01.20.", "COMERCIO", "C/ MAYOR 1 (MADRID)", 3000.5)
+    assert one.actos == "Constitución|Ceses/Dimisiones|Nombramientos" and two.actos == "Cambio de domicilio|Cambio de domicilio social" and three.actos == "Fe de erratas"
+    assert (two.domicilio, two.tomo, two.hoja_registral, two.inscripcion, two.fecha_inscripcion) == ("C/ NUEVA 2", "41234", "M 567890", "3", "5.01.20")
+    people = gazette.officers(entries).collect()
+    assert sorted((r.persona, r.cargo, r.tipo_acto) for r in people) == [("GARCIA RUIZ LUIS", "Adm. Unico", "nombramiento"), ("PEREZ LOPEZ ANA", "Adm. Unico", "nombramiento"), ("RUIZ PAZ EVA", "Apoderado", "nombramiento"), ("SOLO GIL EVA", "Apoderado", "cese"), ("UNO DOS", "Apo.Sol.", "revocacion")]
+    report = {(r.measure, r.value): r.n for r in gazette.parser_report(entries).collect()}
+    assert report["office", "Apoderado"] == 2 and report["kind", "cese"] == 1 and report["body", "Constitución"] == 1
+
+
+def test_feed_from_archive_to_records(spark, tmp_path):
+    entry = """<entry><id>https://x/1</id><link href="https://x/d?a=1&amp;b=2"/><updated>2026-03-25T10:00:00.000+01:00</updated><cac-place-ext:ContractFolderStatus>
+    <cbc:ContractFolderID> T/1 </cbc:ContractFolderID><cbc-place-ext:ContractFolderStatusCode>RES</cbc-place-ext:ContractFolderStatusCode>
+    <cac-place-ext:LocatedContractingParty><cac:Party><cac:PartyIdentification><cbc:ID schemeName="NIF">A1</cbc:ID></cac:PartyIdentification><cac:PartyIdentification><cbc:ID schemeName="DIR3">L01</cbc:ID></cac:PartyIdentification><cac:PartyIdentification><cbc:ID schemeName="NIF">A2</cbc:ID></cac:PartyIdentification><cac:PartyName><cbc:Name>Órgano</cbc:Name></cac:PartyName></cac:Party>
+    <cac-place-ext:ParentLocatedParty><cac:PartyName><cbc:Name>C</cbc:Name></cac:PartyName><cac-place-ext:ParentLocatedParty><cac:PartyName><cbc:Name>A</cbc:Name></cac:PartyName></cac-place-ext:ParentLocatedParty></cac-place-ext:ParentLocatedParty></cac-place-ext:LocatedContractingParty>
+    <cac:ProcurementProject><cbc:Name>Proyecto</cbc:Name><cbc:TypeCode>1</cbc:TypeCode><cac:BudgetAmount><cbc:EstimatedOverallContractAmount currencyID="EUR">7809917.35</cbc:EstimatedOverallContractAmount><cbc:TotalAmount currencyID="EUR">5670000.00</cbc:TotalAmount><cbc:TaxExclusiveAmount currencyID="EUR">4685950.41</cbc:TaxExclusiveAmount></cac:BudgetAmount>
+    <cac:RequiredCommodityClassification><cbc:ItemClassificationCode>33000000</cbc:ItemClassificationCode></cac:RequiredCommodityClassification><cac:RequiredCommodityClassification><cbc:ItemClassificationCode>44</cbc:ItemClassificationCode></cac:RequiredCommodityClassification><cac:PlannedPeriod><cbc:DurationMeasure unitCode="MON">12</cbc:DurationMeasure></cac:PlannedPeriod></cac:ProcurementProject>
+    <cac:TenderingTerms/><cac:TenderingProcess/><cac:TenderResult><cbc:AwardDate>2026-01-02</cbc:AwardDate><cbc:ReceivedTenderQuantity>3</cbc:ReceivedTenderQuantity><cbc:SMEAwardedIndicator>false</cbc:SMEAwardedIndicator><cac:WinningParty><cac:PartyIdentification><cbc:ID schemeName="NIF">B9</cbc:ID></cac:PartyIdentification><cac:PartyName><cbc:Name>Gana</cbc:Name></cac:PartyName></cac:WinningParty><cac:AwardedTenderedProject><cac:LegalMonetaryTotal><cbc:TaxExclusiveAmount>x</cbc:TaxExclusiveAmount><cbc:PayableAmount>12.5</cbc:PayableAmount></cac:LegalMonetaryTotal></cac:AwardedTenderedProject></cac:TenderResult><cac:TenderResult><cbc:AwardDate>2027-01-02</cbc:AwardDate></cac:TenderResult>
+    <cac-place-ext:ValidNoticeInfo><cac-place-ext:AdditionalPublicationStatus><cac-place-ext:AdditionalPublicationDocumentReference><cbc:IssueDate>2026-03-25</cbc:IssueDate></cac-place-ext:AdditionalPublicationDocumentReference></cac-place-ext:AdditionalPublicationStatus></cac-place-ext:ValidNoticeInfo></cac-place-ext:ContractFolderStatus></entry>"""
+    without = "<entry><id>2</id><cac-place-ext:ContractFolderStatus><cbc:ContractFolderID>T/2</cbc:ContractFolderID><cac:ProcurementProject><cbc:Name>sin</cbc:Name><cbc:TypeCode>77</cbc:TypeCode></cac:ProcurementProject></cac-place-ext:ContractFolderStatus></entry>"
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
+        z.writestr("a/f.atom", f'<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom">{entry}{without}<entry><id>3</id></entry></feed>')
+    got = {r.expediente: r.asDict() for r in feeds.contract_records(feeds.archived_entries(spark, str(tmp_path))).collect()}
+    assert set(got) == {"T/1", "T/2"} and len(got["T/1"]) == 39 + 2
+    wanted = dict(valor_estimado_contrato=7809917.35, importe_sin_iva=4685950.41, importe_con_iva=5670000.0, importe_adjudicacion=None, importe_adj_con_iva=12.5, nif_organo="A2", dir3_organo="L01", dependencia="A > C", organo_contratante="Órgano", tipo_contrato="Suministros", estado="Resuelta", cpv_principal="33000000", cpvs="33000000;44", duracion="12", duracion_unidad="MON", adjudicatario="Gana", nif_adjudicatario="B9", num_ofertas=3, es_pyme=False, fecha_adjudicacion="2026-01-02", fecha_publicacion="2026-03-25", url="https://x/d?a=1&b=2", fecha_updated="2026-03-25T10:00:00.000+01:00")
+    assert {k: got["T/1"][k] for k in wanted} == wanted
+    assert got["T/2"]["tipo_contrato"] == "77" and got["T/2"]["importe_sin_iva"] is got["T/2"]["valor_estimado_contrato"] is got["T/2"]["importe_con_iva"] is got["T/2"]["dependencia"] is None
+
+
+def test_flat_documents(spark):
+    document = {"idExpediente": 123, "numeroExpediente": "EXP-2026-001", "titulo": "Contrato", "tipoContrato": {"codigo": "SERV", "descripcion": "Servicios"}, "perfilContratante": {"codigo": "SYBS03", "descripcion": "Salud", "codigoDir3": "A01"}, "estado": {"codigo": "ADJ", "nombre": "Adjudicado"}, "importeLicitacion": 100.0, "fechaPublicacion": "2026-01-15T10:00:00+0100", "codigosCpv": ["33140000", "33190000"], "provinciasEjecucion": ["29", "41"]}
+    document |= {"adjudicaciones": [{"nifAdjudicatario": "A12345678;", "importeAdjudicacion": 95.0}, {"nifAdjudicatario": "B87654321;"}], "anuncios": [{"fechaPublicacion": "2026-01-20T08:00:00+0100"}, {"fechaPublicacion": "2026-01-10T08:00:00+0100"}], "mediosPublicacion": [{"codigo": "DOUE"}, {"codigo": "PLACSP"}], "lotes": [1, 2]}
+    rows = spark.createDataFrame([(json.dumps(document),), ('{"tipoContrato": "otro", "perfilContratante": null}',)], "doc string")
+    one, two = feeds.flat_documents(rows, "doc", "https://x").collect()
+    wanted = dict(id_expediente="123", tipo_contrato="Servicios", tipo_contrato_codigo="SERV", codigo_perfil="SYBS03", adjudicatario_nif="A12345678", todos_adjudicatarios_nif="A12345678;B87654321", cpv="33140000;33190000", provincias_ejecucion="29;41", num_adjudicaciones=2, num_anuncios=2, num_lotes=2, medios_publicacion="DOUE;PLACSP", anuncio_primera_fecha="2026-01-10", anuncio_ultima_fecha="2026-01-20", fecha_publicacion="2026-01-15")
+    assert len(one) == 34 and {k: one[k] for k in wanted} == wanted and one.url_detalle.endswith("idExpediente=123")
+    assert two.tipo_contrato == "otro" and two.codigo_perfil == two.cpv == two.fecha_publicacion == "" and two.num_lotes == 0
+
+
+def test_detail_pages(spark):
+    cells = lambda tag, row: "<tr>" + "".join(f"<{tag}>{c}</{tag}>" for c in row) + "</tr>"
+    table = lambda head, *rows: "<table>" + cells("th", head) + "".join(cells("td", r) for r in rows) + "</table>"
+    pairs = [("Referencia", "REF-1"), ("Tipo de tramitación", "Ordinaria"), ("Orzamento base de licitación", "1.234,56 €"), ("Valor estimado", "2.345,67 €"), ("Nº lotes", "2"), ("Fecha de difusión en la Plataforma de Contratos:", "23/03/2026"), ("Fecha formalización:", "24/03/2026"), ("Compra pública estratéxica:", "Sí"), ("Referencia", "later")]
+    html = "<title>Detalle procedemento: 8 -  Galicia</title><dl>" + "".join(f"<dt>{a}</dt><dd>{b}</dd>" for a, b in pairs) + "</dl>"
+    html += table(["Perfil", "BOP", "DOG", "BOE", "Fecha envío DOUE"], ["Perfil", "", "", "", "23/03/2026"]) + table(["código CPV", "Lote"], ["12345678", "1"], ["87654321", "2"]) + table(["NUT", "Lote"], ["ES111", "1"])
+    html += table(["Título", "Fecha", "Estado", "Descarga"], ["Pliego", "a", "b", "c"], ["Anuncio", "a", "b", "c"])
+    got = feeds.detail_records(spark.createDataFrame([(1, html), (2, "<title>Error</title>")], "id long, html string"), "id", "html").collect()
+    wanted = dict(referencia="REF-1", tipo_tramitacion="Ordinaria", presupuesto_base_eur=1234.56, valor_estimado_eur=2345.67, num_lotes=2.0, cpv_codes="12345678, 87654321", nuts_codes="ES111", documentos_count=2, publicaciones_count=1, adjudicaciones_count=None, fecha_difusion="2026-03-23T00:00:00", fecha_formalizacion="2026-03-24T00:00:00", compra_publica_estrategica="Sí")
+    assert len(got) == 1 and {k: got[0][f"detail_{k}"] for k in wanted} == wanted
+
+
+def test_notice_lots(spark):
+    names = "winner_names winner_ids winner_countries winner_sizes winner_dates tender_values result_values estimated_values offers lot_ids result_lot_ids".split()
+    rows = [("n", "can-standard", ["w", "v"], ["1", "2", "3"], ["ES"], ["small"], ["d"], ["10", ""], ["7", "8"], ["5", "6", "4"], ["9"], [], ["L1"]), ("c", "cn-standard", ["w", "v"], None, [], [], [], [], [], [], [], [], [])]
+    got = feeds.notice_lots(spark.createDataFrame(rows, "id string, notice_type string, " + ", ".join(f"{n} array<string>" for n in names)), ["id"]).orderBy("id", "lot_index").collect()
+    assert [(r.id, r.lot_index, r.value, r.win_name, r.win_nationalid, r.win_country, r.win_size, r.lot_id) for r in got] == [("c", 0, "", "w", "", "", "", ""), ("n", 0, "10", "w", "1", "ES", "small", "L1"), ("n", 1, "8", "v", "2", "", "small", ""), ("n", 2, "4", "v", "3", "", "small", "")]
 
 
 def test_layouts():
