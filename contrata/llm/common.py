@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 #: Rows and bytes of an Arrow batch sent to a Python worker: texts may be long.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
-#: A key is hot if more than one in so many rows have it, so there are at most so many hot keys, however large the table.
-MOST_HOT = 1000
+#: A key is hot if more than one in so many rows have it, and more than LEAST_HOT; so there are at most so many hot keys, however large the table.
+MOST_HOT, LEAST_HOT = 1000, 1000
 
 _own_folder: dict[str, str] = {}
 
@@ -76,42 +76,32 @@ class Scratch:
             path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
 
 
-def looked_up(big: DataFrame, small: DataFrame, keys: list[str], value: str, n: str | None = None) -> DataFrame:
-    """big with the value that small has for its keys, null without one. small: at most one row for equal keys.
-
-    Hot keys' values are broadcast, at most MOST_HOT rows by what makes a key hot; their rows of big are dealt at random
-    in the join that finds the others. n: small's column of how many rows of big have its keys; without it they are
-    counted, which reads big once more, so it had better be a written table.
-    """
-    if n:
-        counts = small
-        total = counts.agg(F.sum(n)).first()[0] or 0
-    else:
-        n, counts = "__n", big.groupBy(*keys).agg(F.count("*").alias("__n"))
-        total = big.count()
-    hot = counts.where(F.col(n) * MOST_HOT > F.lit(total)).select(*[F.col(k).alias(f"__hot_{k}") for k in keys])
-    known = small.select(*[F.col(k).alias(f"__small_{k}") for k in keys], F.col(value).alias("__small_value"), F.lit(0).alias("__small_salt"))
-    hot = hot.join(known, [F.col(f"__hot_{k}") == F.col(f"__small_{k}") for k in keys], "left")
-    hot = hot.select(*[f"__hot_{k}" for k in keys], F.struct(F.col("__small_value").alias("v")).alias("__hot_value"))
-    marked = big.join(F.broadcast(hot), [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys], "left")
-    salt = F.when(F.col("__hot_value").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*big.columns), F.lit(1 << 30)).cast("int"))
-    joined = marked.withColumn("__salt", salt).join(known, [*[F.col(k) == F.col(f"__small_{k}") for k in keys], F.col("__salt") == F.col("__small_salt")], "left")
-    return joined.select(*[F.col(f"`{c}`") for c in big.columns if c != value], F.coalesce("__hot_value.v", "__small_value").alias(value))
-
-
-def copies_of_hot(keys: DataFrame, key: str) -> DataFrame:
-    """(key, n_copies) of a column's hot keys: in how many parts their rows are to be dealt, so that none has more than one in MOST_HOT of all rows. At most MOST_HOT rows. keys: a written table."""
-    total = keys.count()
-    counts = keys.groupBy(F.col(key).alias("__hot_key")).agg(F.count("*").alias("__n")).where(F.col("__n") * MOST_HOT > F.lit(total))
-    return counts.select("__hot_key", F.ceil(F.col("__n") * MOST_HOT / F.lit(max(total, 1))).cast("int").alias("__copies"))
-
-
-def met(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, by: list[str]) -> DataFrame:
-    """Inner join of big with small on a column; hot: copies_of_hot of big's. small's rows of a hot key are copied, and big's are dealt to the copies by some columns."""
-    copies = F.coalesce("__copies", F.lit(1))
-    one = big.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn("__part", F.pmod(F.xxhash64(*by), copies).cast("int")).drop("__hot_key", "__copies")
-    other = small.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left").withColumn("__part", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__hot_key", "__copies")
-    return one.join(other, [key, "__part"]).drop("__part")
+def hot_keys(counts: DataFrame, keys: list[str], n: str, total: int) -> dict[int, int]:
+    """Of each hot key, by the hash of its columns: among how many tasks its rows are to be dealt, so that none gets more than one in MOST_HOT of all. At most MOST_HOT entries, all of which the driver knows. counts: rows (column n) by key; total: of all."""
+    hot = counts.where((F.col(n) * MOST_HOT > F.lit(total)) & (F.col(n) > LEAST_HOT)).select(F.xxhash64(*keys).alias("key"), F.col(n).alias("n"))
+    return {r.key: -(-r.n * MOST_HOT // total) for r in hot.collect()}
+
+
+def hot_keys_of(table: DataFrame, keys: list[str]) -> dict[int, int]:
+    """hot_keys of a written table."""
+    return hot_keys(table.groupBy(*keys).agg(F.count("*").alias("__n")), keys, "__n", table.count())
+
+
+def met(big: DataFrame, small: DataFrame, keys: list[str], hot: dict[int, int], by: list[str], how: str = "inner") -> DataFrame:
+    """big joined with small on columns of equal names; hot: hot_keys of big. small's rows of a hot key are copied, and big's are dealt to the copies by some columns, so no task has a hot key's rows to itself."""
+    if not hot:
+        return big.join(small, keys, how)
+    copies = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), F.xxhash64(*keys)), F.lit(1))
+    one = big.withColumn("__part", F.pmod(F.xxhash64(*by), copies).cast("int"))
+    other = small.withColumn("__part", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return one.join(other, [*keys, "__part"], how).drop("__part")
+
+
+def looked_up(big: DataFrame, small: DataFrame, keys: list[str], value: str, n: str | None = None, how: str = "inner") -> DataFrame:
+    """big with the value that small has for its keys. small: at most one row for equal keys. n: small's column of how many rows of big have its keys; without it they are counted, which reads big twice more, so it had better be a written table."""
+    hot = hot_keys(small, keys, n, small.agg(F.sum(n)).first()[0] or 0) if n else hot_keys_of(big, keys)
+    joined = met(big, small.select(*keys, F.col(value).alias("__value")), keys, hot, big.columns, how)
+    return joined.select(*[F.col(f"`{c}`") for c in big.columns if c != value], F.col("__value").alias(value))
 
 
 def mapped(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch] | None], schema: str) -> DataFrame:

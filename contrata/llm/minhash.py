@@ -147,7 +147,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """pairs (a, b) of ids whose documents' full sets are similar; each side's text comes by one join on its id. pairs: a written table."""
     for k, other in ("ab", "ba"):
         texts = docs.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
-        both = common.met(pairs if k == "a" else both, texts, k, common.copies_of_hot(pairs, k), [other])
+        both = common.met(pairs if k == "a" else both, texts, [k], common.hot_keys_of(pairs, [k]), [other])
     return common.mapped(both.select("a", "b", "text_a", "text_b"), _similar, "a long, b long")
 
 
@@ -208,7 +208,7 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, scr
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", F.col("rep").alias("node"), F.coalesce("label", "rep").alias("label"))
     labelled = scratch.keep(labelled)
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("bucket", "n")
-    open_ = common.looked_up(labelled, mixed.withColumn("size", F.col("n")), ["bucket"], "size", "n").where("size is not null")
+    open_ = common.looked_up(labelled, mixed.withColumn("size", F.col("n")), ["bucket"], "size", "n")
     open_ = open_.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # cell (i, j), i <= j, holds blocks i and j; within i = j all members meet, else one side meets the other
     cells = open_.select("bucket", "node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -230,11 +230,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketches = named.select("doc_id", "bands").join(copies.where("doc_id = rep").select("doc_id").distinct(), "doc_id")
     members = sketches.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
     shared = scratch.keep(members.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1"))
-    members = scratch.keep(common.looked_up(members, shared, ["bucket"], "centre", "n").where("centre is not null"))
+    members = scratch.keep(common.looked_up(members, shared, ["bucket"], "centre", "n"))
 
     star = scratch.keep(members.where("rep != centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct())
     sides = [named.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"sketch_{k}")) for k in "ab"]
-    close = common.met(star.join(sides[0], "a"), sides[1], "b", common.copies_of_hot(star, "b"), ["a"]).where(_differing("sketch_a", "sketch_b") <= most_differing())
+    close = common.met(star.join(sides[0], "a"), sides[1], ["b"], common.hot_keys_of(star, ["b"]), ["a"]).where(_differing("sketch_a", "sketch_b") <= most_differing())
     close = scratch.keep(close.select("a", "b").distinct())
     links = scratch.keep(_confirmed(close, docs))
     labels = scratch.keep(components(links, scratch))
@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = copies.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
     groups = scratch.keep(components(links.unionByName(more).unionByName(same), scratch))
     scratch.drop(shared, members, star, close, links, labels, crossing, more)
-    of_doc = common.looked_up(copies.withColumnRenamed("rep", "node"), groups, ["node"], "label").select("doc_id", F.coalesce("label", "node").alias("label"))
+    of_doc = common.looked_up(copies.withColumnRenamed("rep", "node"), groups, ["node"], "label", how="left").select("doc_id", F.coalesce("label", "node").alias("label"))
     of_doc = of_doc.groupBy("doc_id").agg(F.min("label").alias("label"))
     out = sketched.select("doc_id", "n_shingles").join(of_doc, "doc_id", "left")
     component = F.coalesce("label", "doc_id")

@@ -10,7 +10,7 @@ Pages are aggregated to (host, segments) before anything else, so a hot host cos
 steps are aggregations and joins of these. Pages meet their template again by one join on these two. Paths are taken at
 their whole depth: one pass over hashes of all prefixes finds the next level that has something to generalise or merge,
 so that steps are made for these levels alone, however deep the paths are. Joins on a host, a branch or a path that very
-many rows have take what they look up from a broadcast of bounded size (common.looked_up).
+many rows have deal these to many tasks (common.looked_up).
 
 Cases: null url or one without `://`: empty host and path, which have a template like any other. No labels: the method
 allows all. Several labels of a page: the worse counts. Repeated rows and null page_ids: a row each. Very long urls: as
@@ -93,7 +93,7 @@ def templates(urls: DataFrame, scratch: common.Scratch) -> DataFrame:
         own = prefixed.where(F.size("segments") > d).groupBy("host", "prefix", F.get("segments", F.lit(d)).alias("child")).agg(F.sum("n").alias("n"))
         wide = own.groupBy("host", "prefix").agg(F.count("*").alias("children"), F.sum("n").alias("pages"))
         wide = wide.where((F.col("children") > CHILDREN) & (F.col("pages") < PAGES_A_CHILD * F.col("children"))).select("host", "prefix", F.lit(True).alias("wide"))
-        marked = common.looked_up(prefixed, wide, ["host", "prefix"], "wide")
+        marked = common.looked_up(prefixed, wide, ["host", "prefix"], "wide", how="left")
         tree, old = scratch.keep(marked.withColumn("segments", F.when(F.col("wide") & (F.size("segments") > d), _replaced(d, F.lit("*"))).otherwise(F.col("segments"))).drop("prefix", "wide")), tree
         scratch.drop(old)
     d = None
@@ -106,8 +106,8 @@ def templates(urls: DataFrame, scratch: common.Scratch) -> DataFrame:
         p = F.col("all.all_good") / F.nullif(F.col("all.all_labelled"), F.lit(0.0))
         alike = (F.col("labelled") == 0) | (F.abs(F.col("good") / F.nullif("labelled", F.lit(0.0)) - p) <= Z * F.sqrt(p * (1 - p) / F.nullif("labelled", F.lit(0.0))))
         branch = scratch.keep(branch)
-        merged = common.looked_up(branch, pool, ["host", "pool"], "all").where(F.col("all").isNotNull() & alike).select("host", "segments", "pool")
-        joined = common.looked_up(tree, merged, ["host", "segments"], "pool")
+        merged = common.looked_up(branch, pool, ["host", "pool"], "all").where(alike).select("host", "segments", "pool")
+        joined = common.looked_up(tree, merged, ["host", "segments"], "pool", how="left")
         tree, old = scratch.keep(joined.withColumn("segments", F.coalesce("pool", "segments")).drop("pool")), tree
         scratch.drop(old, branch)
     whole = tree.agg(F.sum("good").alias("good"), F.sum("labelled").alias("labelled")).first()
@@ -127,6 +127,6 @@ def url_verdicts(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, s
     good = labelled.groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.min("good").alias("good"))
     found = scratch.keep(templates(rows.join(good, "page_id", "left").select("host", "key", "good"), scratch))
     rule = rule_for(F.col("host"), F.col("path"), rules)
-    joined = common.looked_up(rows, found.select("host", "key", F.struct("template", "purity").alias("of")), ["host", "key"], "of").select("*", "of.*").withColumn("fit", rule)
+    joined = common.looked_up(rows, found.select("host", "key", F.struct("template", "purity").alias("of")), ["host", "key"], "of", how="left").select("*", "of.*").withColumn("fit", rule)
     by_method = F.when(F.col("purity") < LEAST_PURITY, "block").otherwise("allow")
     return joined.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.action", by_method).alias("verdict"), "template", "purity")

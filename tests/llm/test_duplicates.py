@@ -56,9 +56,9 @@ def test_shingle_sets_are_those_of_the_words():
             assert len(np.intersect1d(sets[i], sets[j])) == len(set_of(texts[i]) & set_of(texts[j]))
 
 
-@pytest.mark.parametrize("most", [3, 1000])
-def test_near_duplicates_equal_brute_force(documents, spark, monkeypatch, most):
-    monkeypatch.setattr(common, "MOST_HOT", most)
+@pytest.mark.parametrize("least", [0, 1000])
+def test_near_duplicates_equal_brute_force(documents, spark, monkeypatch, least):
+    monkeypatch.setattr(common, "LEAST_HOT", least)
     got = sorted(map(str, (tuple(r) for r in minhash.near_duplicates(documents).collect())))
     assert got == sorted(map(str, brute_components(corpus())))
 
@@ -150,7 +150,7 @@ def test_line_dedup_equals_brute_force(spark, documents, nothing):
     # rows that share a doc_id: what one loses the other keeps
     extra += [(507, "p\nq\nr\nz"), (507, "own one\nown two\nown three\nown four"), (508, "a\nk"), (508, "a\nk")]
     rows = corpus() + extra
-    clash = ("places", "_n_lines", "_n_kept", "__gone_id", "gone_id", "key", "row", "lines", "n", "first", "h1", "__small_value")
+    clash = ("places", "_n_lines", "_n_kept", "__gone_id", "gone_id", "key", "row", "lines", "n", "first", "h1", "__value", "__part")
     docs = spark.createDataFrame([(i, t, *clash) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
     out = lines.line_dedup(docs)
     assert out.columns == ["doc_id", "text", *[c for c in clash if not c.startswith("_n_")], "_n_lines", "_n_kept"]
@@ -164,19 +164,23 @@ def test_line_dedup_equals_brute_force(spark, documents, nothing):
     assert emptied and lines.deduplicated(docs, keep_emptied=False).count() == len(rows) - emptied
 
 
-@pytest.mark.parametrize("most", [2, 1000])
-def test_hot_keys_are_looked_up_like_others(spark, monkeypatch, most):
+@pytest.mark.parametrize("least", [0, 100, 1000])
+def test_hot_keys_are_looked_up_like_others(spark, monkeypatch, least):
     """One key has half of the rows, one has no value, and some are null."""
-    monkeypatch.setattr(common, "MOST_HOT", most)
+    monkeypatch.setattr(common, "LEAST_HOT", least)
     rows = [(i, 0 if i % 2 else i % 7, f"s{i % 3}" if i % 5 else None) for i in range(500)]
     big = spark.createDataFrame([(i, k if i % 11 else None, s) for i, k, s in rows], "i long, k long, s string")
     small = spark.createDataFrame([(0, "s1", "v01"), (0, "s2", "v02"), (3, "s0", "v30"), (9, "s0", "x")], "k long, s string, v string")
     known = {(r.k, r.s): r.v for r in small.collect()}
-    wanted = sorted((i, known.get((k if i % 11 else None, s))) for i, k, s in rows)
-    assert sorted((r.i, r.v) for r in common.looked_up(big, small, ["k", "s"], "v").select("i", "v").collect()) == wanted
-    texts = spark.createDataFrame([(0, "zero"), (0, "again"), (3, "three")], "k long, text string")
-    met = common.met(big.select("i", "k"), texts, "k", common.copies_of_hot(big, "k"), ["i"])
-    assert sorted((r.i, r.text) for r in met.collect()) == sorted((i, t) for i, k, _ in rows if i % 11 for j, t in ((0, "zero"), (0, "again"), (3, "three")) if j == k)
+    wanted = sorted((i, known.get((k if i % 11 else None, s), "")) for i, k, s in rows)
+    got = common.looked_up(big, small, ["k", "s"], "v", how="left").collect()
+    assert sorted((r.i, r.v or "") for r in got) == wanted
+    assert sorted((r.i, r.v) for r in common.looked_up(big, small, ["k", "s"], "v").collect()) == [w for w in wanted if w[1]]
+    hot = common.hot_keys_of(big, ["k"])
+    assert len(hot) == {0: 8, 100: 1, 1000: 0}[least] and (least > 0 or max(hot.values()) > 400)
+    texts = [(0, "zero"), (0, "again"), (3, "three")]
+    met = common.met(big.select("i", "k"), spark.createDataFrame(texts, "k long, text string"), ["k"], hot, ["i"])
+    assert sorted((r.i, r.text) for r in met.collect()) == sorted((i, t) for i, k, _ in rows if i % 11 for j, t in texts if j == k)
 
 
 def items():
