@@ -5,8 +5,8 @@ at its first occurrence, the one with the smallest (doc_id, hash of the text, li
 cover are removed, overlapping ones merged. Each removed line so has an earlier equal line that stays.
 
 Plan: windows become rows of two hashes and a place, counted with map-side partial aggregation, and only windows that
-repeat meet their group's first place again. Windows that more than one in common.MOST_HOT rows have get that place from
-a broadcast of at most so many rows, so no task has a hot window's rows to itself. Places return to their own row only.
+repeat meet their group's first place again; those that more than one in common.MOST_HOT rows have are dealt to many
+tasks, with a copy of that place each. Places return to their own row only.
 
 Cases: fewer than three lines, an empty or null text: nothing is removed (null text: stays null). Very long text: as any
 other. A window of blank lines is never a repetition. Rows that share a doc_id but not their text are documents of their
@@ -26,18 +26,21 @@ WIDTH = 3
 
 
 def _own(docs: DataFrame) -> DataFrame:
-    """doc_id, key (a hash of the text) and text of each row, and in `row` all its columns, where their names meet no others."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    """doc_id and key (a hash of the text) of each row, and in `row` all its columns, where their names meet no others."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_said(F.col("text"))).alias("key"))
 
 
-def _lines() -> Column:
-    return F.split("text", "\n", -1)
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
+
+
+def _said(text: Column) -> Column:
+    return F.coalesce(text.cast("string"), F.lit(""))
 
 
 def _windows(own: DataFrame) -> DataFrame:
     """(doc_id, key, place, h1, h2) of every window that isn't blank."""
-    lines = own.select("doc_id", "key", _lines().alias("lines")).where(F.size("lines") >= WIDTH)
+    lines = own.select("doc_id", "key", _lines(_said(F.col("row")["text"])).alias("lines")).where(F.size("lines") >= WIDTH)
     line = lambda i, k: F.get("lines", i + k)
 
     def window(i: Column) -> Column:
@@ -63,7 +66,7 @@ def _kept(docs: DataFrame) -> DataFrame:
     """row, text (of the lines that stay; null if nothing is removed), n_lines and n_kept."""
     own = _own(docs)
     gone = covered_places(own).toDF("gone_id", "gone_key", "places")
-    joined = own.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left").withColumn("lines", _lines())
+    joined = own.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left").withColumn("lines", _lines(_said(F.col("row")["text"])))
     covered = F.flatten(F.transform("places", lambda p: F.array(*[p + k for k in range(WIDTH)])))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered)
     text = F.when(F.col("places").isNotNull(), F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
