@@ -34,9 +34,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from contrata.llm import common
 from contrata.llm.shingles import mix
@@ -45,7 +45,7 @@ ORDER = 5
 #: The corpus's most common grams, whose probabilities are broadcast (about 32 bytes each in the lookup table).
 HOT_GRAMS = 1 << 18
 #: Counts that a task holds before it adds up those of equal grams (24 bytes each); of more than half as many grams it passes the counts on.
-HELD_GRAMS = 1 << 20
+HELD_GRAMS = 1 << 19
 LOW, HIGH, SLACK = 0.01, 0.99, 1.1
 #: A quantile of a length is taken over so many held-out documents at least, else it is that of all lengths; a language with fewer has a wider slack.
 LEAST_TRUSTED = 50
@@ -60,7 +60,7 @@ _FACTORS = mix(np.arange(11, 11 + ORDER, dtype=np.uint64)) | np.uint64(1)
 #: Bits of a sign in the key of a gram that has no sign beyond them.
 _BITS = 60 // ORDER
 _NARROW, _WIDE = 1 << _BITS, np.uint64(1 << 63)
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _FILTER = mix(np.arange(1, FILTER_HASHES + 1, dtype=np.uint64) << np.uint64(32))
 
 
@@ -207,24 +207,6 @@ class _Counts:
         return out
 
 
-def counted(rows: DataFrame) -> DataFrame:
-    """(gram, c, t): the grams of the highest order, with their numbers in all texts and in those whose `trusted` is true."""
-
-    def run(batches):
-        counts = _Counts()
-        for batch in batches:
-            trusted = np.array(batch.column("trusted").to_pylist(), dtype=bool)
-            for points, ends, owner in places(batch.column("text").to_pylist(), _PIECE):
-                counts.add(points, ends, trusted[owner])
-                if counts.size > HELD_GRAMS:
-                    counts.merge()
-                if counts.size > HELD_GRAMS // 2:
-                    yield from counts.told()
-        yield from counts.told()
-
-    return rows.select("text", "trusted").mapInArrow(run, "gram string, c long, t long").groupBy("gram").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
-
-
 class Filter:
     """A Bloom filter of ids."""
 
@@ -255,26 +237,48 @@ def filter_of(ids: DataFrame) -> Filter:
     return out
 
 
-def marked(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """rows (with doc_id) that the filter of ids may have, in a column of that name; nothing is shuffled."""
-    shared = rows.sparkSession.sparkContext.broadcast(filter_of(ids))
+def counted(rows: DataFrame, trusted_ids: Broadcast | None = None) -> DataFrame:
+    """(gram, c, t): the grams of the highest order, with their numbers in all texts and in those that aren't held out and whose id the filter may have (without one: in all). rows: doc_id, text, held."""
+
+    def run(batches):
+        counts = _Counts()
+        for batch in batches:
+            trusted = ~np.array(batch.column("held").to_pylist(), dtype=bool)
+            if trusted_ids:
+                trusted &= trusted_ids.value.may_have(batch.column("doc_id"))
+            for points, ends, owner in places(batch.column("text").to_pylist(), _PIECE):
+                counts.add(points, ends, trusted[owner])
+                if counts.size > HELD_GRAMS:
+                    counts.merge()
+                if counts.size > HELD_GRAMS // 2:
+                    yield from counts.told()
+        yield from counts.told()
+
+    return rows.select("doc_id", "text", "held").mapInArrow(run, "gram string, c long, t long").groupBy("gram").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+
+
+def passed(rows: DataFrame, ids: Broadcast) -> DataFrame:
+    """The rows (with doc_id) whose id a filter may have; nothing is shuffled."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.may_have(batch.column("doc_id")))], names=[*batch.schema.names, name])
+        return batch.filter(pa.array(ids.value.may_have(batch.column("doc_id"))))
 
-    return common.mapped(rows, run, T.StructType([*rows.schema.fields, T.StructField(name, T.BooleanType())]))
+    return common.mapped(rows, run, rows.schema)
 
 
 def gram_counts(rows: DataFrame, good: DataFrame, scratch: common.Scratch) -> DataFrame:
     """(gram, c, t) of all rows and of the trusted ones: those whose id is in good and that aren't held out."""
-    seen = marked(rows, good, "maybe").withColumn("trusted", F.col("maybe") & ~held_out())
-    counts = scratch.keep(counted(seen))
-    passed = marked(rows.select("doc_id").distinct(), good, "maybe").where("maybe").select("doc_id")
-    wrong = scratch.keep(passed.where(~held_out()).join(good, "doc_id", "left_anti"))
+    send = rows.sparkSession.sparkContext.broadcast
+    ids = send(filter_of(good))
+    rows = rows.withColumn("held", F.coalesce(held_out(), F.lit(True)))
+    counts = scratch.keep(counted(rows, ids))
+    wrong = passed(rows.where("not held").select("doc_id").distinct(), ids).join(good, "doc_id", "left_anti")
+    wrong = scratch.keep(wrong)
     if wrong.first():
-        texts = marked(rows, wrong, "maybe").where("maybe").join(wrong, "doc_id", "left_semi").withColumn("trusted", F.lit(True))
+        texts = passed(rows.where("not held"), send(filter_of(wrong))).join(wrong, "doc_id", "left_semi")
         off = counted(texts).select("gram", F.lit(0).cast("long").alias("c"), (-F.col("t")).alias("t"))
         counts = scratch.keep(counts.unionByName(off).groupBy("gram").agg(F.sum("c").alias("c"), F.sum("t").alias("t")))
+    ids.unpersist()
     return counts
 
 
