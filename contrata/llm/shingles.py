@@ -12,7 +12,7 @@ import pyarrow as pa
 
 WIDTH = 5
 #: Bytes hashed at a time, so that temporary arrays stay small; one longer text makes a larger piece.
-PIECE = 2 << 20
+PIECE = 1 << 18
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
