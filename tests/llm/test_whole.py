@@ -154,3 +154,24 @@ def test_whole_licence_files_are_known(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: r.license for r in licenses.license_scan(docs).collect()}
     assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
+
+
+def test_pipeline_stages_take_any_table(spark, documents, nothing):
+    """Nulls, empty texts, repeated rows, extra columns and no rows: each stage by itself."""
+    import corpus_pipeline
+
+    n = documents.count()
+    for docs, rows in ((documents, n), (nothing, 0)):
+        kept = {}
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "/root/testdata/sf0.001")
+            kept[name] = out.collect()
+            assert name == "pack" or out.columns == docs.columns
+        if not rows:
+            assert not any(kept.values())
+            continue
+        assert all((r.text or "") for r in kept["quality"])
+        assert all((r.text or "").strip() for r in kept["line_dedup"] if r.doc_id not in (0, 1, 2, None))
+        assert {(r.doc_id, r.text) for r in kept["line_dedup"]} >= {(0, None), (1, ""), (2, " \n\t ")}
+        assert {r.doc_id for r in kept["near_dedup"]} >= {0, 1, 2, 100} and not {r.doc_id for r in kept["near_dedup"]} & set(range(101, 115))
+        assert len(kept["decontaminate"]) <= rows and {r.doc_id for r in kept["pack"]} == {r.doc_id for r in documents.collect()}
