@@ -8,8 +8,9 @@ frames, and each frame's power spectrum is summed into MELS log-mel bands. Frame
 one begins where it passes the upper level and lasts until it falls below the lower one; levels are quantiles of the
 file's own energies. A worker holds one file and a few thousand of its frames at a time.
 
-Cases: null or empty text: 64 zero bytes. Equal texts, equal values: numbers are rounded before they are kept.
-Repeated rows: a row each. Null doc_id: carried along. Empty table: no rows.
+Cases: null or empty text: 64 zero bytes. Very long text: one file, in memory that grows with it. Equal texts, equal
+values: numbers are rounded before they are kept. Repeated rows: a row each. Null doc_id: carried along. Extra columns,
+whatever their names: left out. Empty table: no rows.
 """
 
 from __future__ import annotations

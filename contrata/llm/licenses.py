@@ -7,7 +7,8 @@ looked up: the entire document, and each entire line that speaks of a licence (n
 
 The table of known texts is a constant of this module, so the broadcast has a fixed bound; documents aren't shuffled.
 
-Cases: null text: empty, and an empty canonical text is never a licence. Repeated rows: a row each. Empty table: no rows.
+Cases: null text: empty, and an empty canonical text is never a licence. Very long text: as any other. Null doc_id: carried
+along. Repeated rows: a row each. Extra columns, whatever their names: left out. Empty table: no rows.
 """
 
 from __future__ import annotations
