@@ -236,21 +236,12 @@ def q5(spark, sf_dir):
     return coverage.matched(left, right, spark.createDataFrame(names, "organo string, alias string"))
 
 
-@register("j10_shared_tokens", """WITH t AS (SELECT p_partkey, list_distinct(list_filter(string_split(upper(p_name || ' ' || p_type || ' ' || p_brand), ' '), lambda x: length(x) > 2)) AS w FROM part WHERE p_partkey % 4 < 2),
-l AS (SELECT p_partkey, len(w) AS n, unnest(w) AS t FROM t WHERE p_partkey % 4 = 0), r AS (SELECT p_partkey, len(w) AS n, unnest(w) AS t FROM t WHERE p_partkey % 4 = 1)
-SELECT l.p_partkey AS left_ord, r.p_partkey AS right_ord, count(*) AS shared FROM l JOIN r ON l.t = r.t GROUP BY l.p_partkey, r.p_partkey, l.n, r.n HAVING count(*) >= 2 AND count(*) >= 0.6 * least(l.n, r.n)""")
-def j10(spark, sf_dir):
-    words = text.tokens(F.upper(F.concat_ws(" ", "p_name", "p_type", "p_brand")))
-    parts = table(spark, sf_dir, "part").withColumn("tokens", words)
-    return matching.shared_tokens(parts.where("p_partkey % 4 = 0").withColumnRenamed("p_partkey", "left_ord"), parts.where("p_partkey % 4 = 1").withColumnRenamed("p_partkey", "right_ord"), 0.6, 2)
-
-
 _WORDS = "list_distinct(list_filter(string_split(upper(p_name || ' ' || p_type || ' ' || p_brand), ' '), lambda x: length(x) > 2))"
 
 
-@register("j10_shared_tokens_all", f"""WITH t AS (SELECT p_partkey, {_WORDS} AS w FROM part), e AS (SELECT p_partkey, len(w) AS n, unnest(w) AS t FROM t)
+@register("j10_shared_tokens", f"""WITH t AS (SELECT p_partkey, {_WORDS} AS w FROM part), e AS (SELECT p_partkey, len(w) AS n, unnest(w) AS t FROM t)
 SELECT l.p_partkey AS left_ord, r.p_partkey AS right_ord, count(*) AS shared FROM e l JOIN e r ON l.t = r.t AND l.p_partkey < r.p_partkey GROUP BY l.p_partkey, r.p_partkey, l.n, r.n HAVING count(*) >= 2 AND count(*) >= 0.6 * least(l.n, r.n)""")
-def j10_all(spark, sf_dir):
+def j10(spark, sf_dir):
     """J10 over every pair of parts."""
     words = text.tokens(F.upper(F.concat_ws(" ", "p_name", "p_type", "p_brand")))
     parts = table(spark, sf_dir, "part").withColumn("tokens", words)
@@ -263,21 +254,11 @@ def j12(spark, sf_dir):
     return matching.spread(rows.withColumn("found", F.when(F.col("hit"), F.col("l_linenumber"))), "file", "hit", "found", "l_linenumber").select("l_orderkey", "l_linenumber", "spread", "found")
 
 
-_MEMBERS = "SELECT DISTINCT o_custkey AS company, l_suppkey AS person FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_suppkey % 7 = l_linenumber % 7 AND o_orderkey % 16 = 0"
-
-
-@register("j14_shared_officers", f"WITH m AS ({_MEMBERS}), d AS (SELECT person FROM m GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT m.* FROM m SEMI JOIN d USING (person)) SELECT a.company AS company_a, b.company AS company_b, count(*) AS n_shared, string_agg(CAST(a.person AS VARCHAR), ',' ORDER BY a.person) AS shared FROM k a JOIN k b ON a.person = b.person AND a.company < b.company GROUP BY 1, 2")
-def j14(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_suppkey % 7 = l_linenumber % 7").select("l_orderkey", F.col("l_suppkey").alias("person"))
-    orders = table(spark, sf_dir, "orders").where("o_orderkey % 16 = 0").select("o_orderkey", F.col("o_custkey").alias("company"))
-    return graph.co_membership(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), "person", "company")
-
-
 _MONTHLY = "SELECT DISTINCT o_custkey AS company, l_suppkey * 100000 + year(l_shipdate) * 12 + month(l_shipdate) AS person FROM orders JOIN lineitem ON l_orderkey = o_orderkey"
 
 
-@register("j14_shared_officers_monthly", f"WITH m AS ({_MONTHLY}), d AS (SELECT person FROM m GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT m.* FROM m SEMI JOIN d USING (person)) SELECT a.company AS company_a, b.company AS company_b, count(*) AS n_shared, string_agg(CAST(a.person AS VARCHAR), ',' ORDER BY a.person) AS shared FROM k a JOIN k b ON a.person = b.person AND a.company < b.company GROUP BY 1, 2")
-def j14_monthly(spark, sf_dir):
+@register("j14_shared_officers", f"WITH m AS ({_MONTHLY}), d AS (SELECT person FROM m GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20), k AS (SELECT m.* FROM m SEMI JOIN d USING (person)) SELECT a.company AS company_a, b.company AS company_b, count(*) AS n_shared, string_agg(CAST(a.person AS VARCHAR), ',' ORDER BY a.person) AS shared FROM k a JOIN k b ON a.person = b.person AND a.company < b.company GROUP BY 1, 2")
+def j14(spark, sf_dir):
     """J14 over every order and line: a person is a supplier in a month of shipping, who has few companies at any size of the tables."""
     month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_suppkey") * 100000 + month).alias("person"))

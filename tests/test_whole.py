@@ -21,7 +21,7 @@ def test_shared_officers_of_all_orders(spark):
     for person in sorted(few):
         for a, b in combinations(sorted(few[person]), 2):
             wanted[a, b].append(str(person))
-    got = registry.queries()["j14_shared_officers_monthly"](spark, DATA).collect()
+    got = registry.queries()["j14_shared_officers"](spark, DATA).collect()
     assert sorted((r.company_a, r.company_b, r.n_shared, r.shared) for r in got) == sorted((a, b, len(p), ",".join(p)) for (a, b), p in wanted.items())
 
 
@@ -33,7 +33,7 @@ def test_shared_tokens_of_all_parts(spark):
         shared = len(words[a] & words[b])
         if shared >= 2 and shared >= 0.6 * min(len(words[a]), len(words[b])):
             wanted.append((a, b, shared))
-    got = registry.queries()["j10_shared_tokens_all"](spark, DATA).collect()
+    got = registry.queries()["j10_shared_tokens"](spark, DATA).collect()
     assert sorted(tuple(r) for r in got) == wanted and {k % 4 for k, _, _ in wanted} == {0, 1, 2, 3}
 
 
