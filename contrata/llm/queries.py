@@ -70,12 +70,15 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-OP6_SQL = """
+OP6_SQL = f"""
 WITH line AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-place AS (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS p FROM line WHERE len(lines) >= 3),
-win AS (SELECT doc_id, p, lines[p] AS a, lines[p + 1] AS b, lines[p + 2] AS c FROM place WHERE length(trim(lines[p] || lines[p + 1] || lines[p + 2], ' ')) > 0),
-later AS (SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS k FROM win),
-gone AS (SELECT DISTINCT doc_id, p + j AS p FROM later, (VALUES (0), (1), (2)) AS o(j) WHERE k > 1),
+place AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS p FROM line),
+words AS (SELECT *, len(regexp_extract_all(lines[p], '{lines.WORD}')) AS n, len(regexp_extract_all(coalesce(lines[p + 1], ''), '{lines.WORD}')) AS m FROM place),
+win AS (SELECT doc_id, p, 3 AS w, lines[p] AS a, lines[p + 1] AS b, lines[p + 2] AS c FROM words WHERE p + 2 <= len(lines) AND length(trim(lines[p] || lines[p + 1] || lines[p + 2], ' ')) > 0
+UNION ALL SELECT doc_id, p, 1, lines[p], '', '' FROM words WHERE n > 50
+UNION ALL SELECT doc_id, p, 2, lines[p], lines[p + 1], '' FROM words WHERE n <= 50 AND m <= 50 AND n + m > 50),
+later AS (SELECT doc_id, p, w, row_number() OVER (PARTITION BY w, a, b, c ORDER BY doc_id, p) AS k FROM win),
+gone AS (SELECT DISTINCT doc_id, p + j AS p FROM later, (VALUES (0), (1), (2)) AS o(j) WHERE k > 1 AND j < w),
 single AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS p FROM line),
 kept AS (SELECT s.doc_id, s.p, s.lines[s.p] AS t FROM single s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.p = s.p WHERE g.p IS NULL),
 text AS (SELECT doc_id, count(*) AS n, string_agg(t, chr(10) ORDER BY p) AS t FROM kept GROUP BY 1)

@@ -1,5 +1,6 @@
 """Near duplicates, line dedup and decontamination against brute force."""
 
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -120,23 +121,28 @@ def test_sketches_of_sets_never_leave_out_a_similar_pair():
 
 def brute_lines(rows):
     """Windows as they are stated; rows with one doc_id go by their text's hash, which the caller's rows mustn't depend on."""
-    seen, texts = {}, defaultdict(set)
-    for i, t in rows:
-        texts[i].add(t or "")
+    seen = {}
     place = lambda i, t: (i is not None, i or 0, t or "")
-    for i, t in rows:
+
+    def windows(t):
         own = (t or "").split("\n")
-        for p in range(len(own) - 2):
-            w = tuple(own[p : p + 3])
-            if "".join(w).strip(" "):
-                seen[w] = min(seen.get(w, ((2,),)), (place(i, t), p))
+        n = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in own]
+        for p in range(len(own)):
+            if p + 3 <= len(own) and "".join(own[p : p + 3]).strip(" "):
+                yield p, tuple(own[p : p + 3])
+            if n[p] > 50:
+                yield p, (own[p],)
+            elif p + 1 < len(own) and n[p + 1] <= 50 < n[p] + n[p + 1]:
+                yield p, tuple(own[p : p + 2])
+
+    for i, t in rows:
+        for p, w in windows(t):
+            seen[w] = min(seen.get(w, ((2,),)), (place(i, t), p))
     gone = defaultdict(set)
     for i, t in rows:
-        own = (t or "").split("\n")
-        for p in range(len(own) - 2):
-            w = tuple(own[p : p + 3])
-            if i is not None and "".join(w).strip(" ") and (place(i, t), p) > seen[w]:
-                gone[i, t or ""] |= {p, p + 1, p + 2}
+        for p, w in windows(t):
+            if i is not None and (place(i, t), p) > seen[w]:
+                gone[i, t or ""] |= set(range(p, p + len(w)))
     out = []
     for i, t in rows:
         own = (t or "").split("\n")
@@ -149,6 +155,11 @@ def test_line_dedup_equals_brute_force(spark, documents, nothing):
     extra = [(500, "a\na\na\na\na\na"), (501, "\n\n\n\n"), (502, "x\na\na\na\ny"), (503, "p\nq\nr\ns"), (504, "q\nr\ns\nt\nu\nv"), (505, "s\nt\nu\nv\nq\nr\ns"), (506, "\n\n\n\n")]
     # rows that share a doc_id: what one loses the other keeps
     extra += [(507, "p\nq\nr\nz"), (507, "own one\nown two\nown three\nown four"), (508, "a\nk"), (508, "a\nk")]
+    # long passages on one line or two, beside other neighbours, in short documents, and just too short
+    long = " ".join(f"w{i}" for i in range(51))
+    extra += [(510, long), (511, f"one\n{long}\ntwo"), (512, f"three\n{long}"), (513, f"{long} more\nx"), (514, long.removesuffix(" w50")), (515, long.removesuffix(" w50"))]
+    half = [" ".join(f"{c}{i}" for i in range(26)) for c in "gh"]
+    extra += [(516, "\n".join(["m", *half, "n"])), (517, "\n".join([*half, "o"])), (518, f"{half[0]}\nother\n{half[1]}")]
     rows = corpus() + extra
     clash = ("places", "_n_lines", "_n_kept", "__gone_id", "gone_id", "key", "row", "lines", "n", "first", "h1", "__value", "__part")
     docs = spark.createDataFrame([(i, t, *clash) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
