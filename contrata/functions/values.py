@@ -88,3 +88,8 @@ def year_of(*dates: Column, name: Column | None = None) -> Column:
 def days_between(end: Column, start: Column) -> Column:
     """T5f: whole days, rounded down."""
     return F.floor((F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))) / 86_400).cast("int")
+
+
+def period(day: Column, months_from: int) -> Column:
+    """A1: the period of publication that a day belongs to: its year, from a year on its year and month."""
+    return F.when(F.year(day) < months_from, F.date_format(day, "yyyy")).otherwise(F.date_format(day, "yyyyMM"))

@@ -93,8 +93,8 @@ def json_any(spark: SparkSession, path: str, keys: tuple[str, ...] = ("items", "
     return whole.select(F.explode(lists).alias("record"))
 
 
-def archives(spark: SparkSession, path: str, member: str = r"\.(atom|xml)$") -> DataFrame:
-    """(archive, member, content) of the matching files in ZIP archives; one archive at a time in a worker."""
+def unzipped(files: DataFrame, member: str = r"\.(atom|xml)$") -> DataFrame:
+    """(archive, member, content) of the matching members of ZIP archives (path, content); one archive at a time in a worker."""
 
     def unzip(batches):
         for batch in batches:
@@ -107,8 +107,13 @@ def archives(spark: SparkSession, path: str, member: str = r"\.(atom|xml)$") ->
                 except zipfile.BadZipFile:
                     continue  # files that only end like an archive
 
+    return files.select("path", "content").mapInArrow(unzip, "archive string, member string, content string")
+
+
+def archives(spark: SparkSession, path: str, member: str = r"\.(atom|xml)$") -> DataFrame:
+    """The matching members of all ZIP archives under a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
-    return valid_files(files).select("path", "content").mapInArrow(unzip, "archive string, member string, content string")
+    return unzipped(valid_files(files), member)
 
 
 def xml_entries(spark: SparkSession, path: str, schema: T.StructType | None = None, tag: str = "entry") -> DataFrame:
@@ -152,11 +157,12 @@ def workbook_rows(content: bytes) -> list[list[str | None]]:
         rows = []
         for row in ElementTree.fromstring(z.read(sheets[0])).iter(f"{{{ns['m']}}}row") if sheets else ():
             cells: dict[int, str | None] = {}
+            last = 0
             for c in row.findall("m:c", ns):
-                letters = re.match("[A-Z]+", c.get("r", "A1"))[0]
                 at = 0
-                for letter in letters:
+                for letter in re.match("[A-Z]*", c.get("r", ""))[0]:
                     at = at * 26 + ord(letter) - 64
+                at = last = at or last + 1  # a cell without a reference follows the one before
                 v = c.find("m:v", ns)
                 if c.get("t") == "s" and v is not None:
                     cells[at - 1] = shared[int(v.text)]

@@ -158,6 +158,15 @@ def test_readers(spark, tmp_path):
     assert chain.select(readers.parent_chain([F.col(c) for c in "abcd"]).alias("x")).first().x == "A > B > C"
 
 
+def test_workbook_written_only_if_it_fits(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("a<&\x01", None), (" b ", "2")], "x string, `y.z` string")
+    assert sinks.workbook(df, str(tmp_path / "w.xlsx"))
+    assert [r.cells for r in readers.workbooks(spark, str(tmp_path)).orderBy("row").collect()] == [["x", "y.z"], ["a<&", None], [" b ", "2"]]
+    assert sinks.workbook(df.limit(0), str(tmp_path / "empty.xlsx"))
+    monkeypatch.setattr(sinks, "SHEET_ROWS", 2)
+    assert not sinks.workbook(df, str(tmp_path / "more.xlsx")) and not (tmp_path / "more.xlsx").exists()
+
+
 def test_workbooks_and_pages(spark, tmp_path):
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     book = io.BytesIO()

@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from contrata.plans import driver, more, registry
+from contrata.plans import driver, files, more, registry
 
 from .conftest import DATA
 
