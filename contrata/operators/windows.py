@@ -69,7 +69,8 @@ def concentration(df: DataFrame, key: str, value: str, share: float = 0.5) -> Da
     before = by_bucket.select("__b", (F.sum("__s").over(Window.orderBy(F.col("__b").desc())) - F.col("__s")).alias("__before"), F.sum("__s").over(Window.partitionBy()).alias("__all"))
     ranked = buckets.join(F.broadcast(before), "__b")
     w = Window.partitionBy("__b").orderBy(F.col("total").desc(), key).rowsBetween(Window.unboundedPreceding, 0)
-    running = ranked.withColumn("running_share", (F.sum("total").over(w) + F.col("__before")) / F.col("__all"))
+    # divided as doubles: a quotient of decimals keeps six digits, which takes keys a little above the share
+    running = ranked.withColumn("running_share", (F.sum("total").over(w) + F.col("__before")).cast("double") / F.col("__all").cast("double"))
     return running.where(F.col("running_share") <= share).drop("__b", "__before", "__all")
 
 
