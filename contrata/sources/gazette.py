@@ -87,7 +87,8 @@ def _with_body(rows: DataFrame) -> DataFrame:
 
 def officers(rows: DataFrame, body: str = "cuerpo") -> DataFrame:
     """A row for each person of `Office: NAME; NAME`, with the section that stands in the office or nearest before it, `nombramiento` without one."""
-    pattern = F.lit(r"(?s)(.*?)" + OFFICE)
+    # \G: matches follow one another, so behind the last one no further start is tried, each to the text's end
+    pattern = F.lit(r"(?s)\G(.*?)" + OFFICE)
     part = lambda i: F.regexp_extract_all(F.coalesce(F.col(body), F.lit("")), pattern, F.lit(i))
     found = F.arrays_zip(part(0).alias("all"), part(1).alias("before"), part(2).alias("office"), part(3).alias("names"))
     last = lambda x: F.element_at(F.concat(F.array(F.lit("")), F.regexp_extract_all(x, F.lit("(" + "|".join(SECTIONS) + ")"), F.lit(1))), -1)
@@ -125,8 +126,7 @@ def parser_report(rows: DataFrame) -> DataFrame:
     parts = [
         rows.where(F.length("cuerpo") > 2).select(F.lit("body").alias("measure"), begins.alias("value")),
         rows.where(F.length("empresa") > 150).select(F.lit("long_name").alias("measure"), F.substring("empresa", 1, 200).alias("value")),
-        of_office.select(F.lit("office").alias("measure"), F.col("cargo").alias("value")),
-        of_office.select(F.lit("kind").alias("measure"), F.col("tipo_acto").alias("value")),
+        of_office.select(F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(c).alias("value")) for m, c in (("office", "cargo"), ("kind", "tipo_acto"))])).alias("m")).select("m.*"),
         rows.select(F.lit("missed").alias("measure"), F.explode(F.transform(missed, lambda m: F.substring(label(m), 1, 50))).alias("value")),
     ]
     out = parts[0]
