@@ -79,12 +79,8 @@ def matched(left: DataFrame, right: DataFrame, aliases: DataFrame | None = None)
     right = cut(right.withColumns({"nif": identifiers.clean_nif(F.col("win_nif")), "nif_organo": identifiers.clean_nif(F.col("cae_nif")), "name": short("cae_name"), "file": F.upper(F.trim(F.coalesce("internal_id", F.lit("")))), "tokens": text.tokens(text.buyer_key(F.col("cae_name")), 3), "words": text.tokens(text.buyer_key(F.col("cae_name")))}))
 
     # E1 and E2 share their notices: one call, the winner's number before the file
-    by_winner = matching.near_amounts(left, right, "nif", [0, 1, -1]).drop("block").withColumn("tier", F.lit(1))
-    own = left.where((F.length("file") >= 4) & (F.col("amount") > 0)).select("file", "left_ord", "amount", F.explode(matching.buckets_near(F.col("amount"), fixed.TOLERANCE)).alias("bucket"))
-    other = right.where("amount > 0").select("file", "right_ord", F.col("amount").alias("right_amount"), matching.amount_bucket(F.col("amount"), fixed.TOLERANCE).alias("bucket"))
-    by_file = own.join(other, ["file", "bucket"]).withColumn("diff", F.abs(F.col("amount") - F.col("right_amount")))
-    by_file = by_file.where(F.col("diff") <= matching.tolerance(F.col("amount"))).select("left_ord", "right_ord", "diff", F.lit(0).alias("step"), F.lit(2).alias("tier"))
-    found = matching.greedy(by_winner.unionByName(by_file), ["tier", "diff", "step"])
+    file = F.when(F.length("file") >= 4, F.col("file"))
+    found = matching.assign(left, right, [(F.col("nif"), F.col("nif"), [0, 1, -1]), (file, F.col("file"), None)])
     found = found.select("left_ord", "right_ord", F.when(F.col("tier") == 1, "E1").otherwise("E2").alias("strategy"), "diff")
 
     # The lots of a file take its first free notice, all the same one
@@ -98,13 +94,12 @@ def matched(left: DataFrame, right: DataFrame, aliases: DataFrame | None = None)
         used = found.join(right.select("right_ord", "notice_id"), "right_ord").select("notice_id").distinct()
         return left.where(~F.coalesce("neg_sin_pub", F.lit(False))).join(found.select("left_ord"), "left_ord", "left_anti"), right.join(used, "notice_id", "left_anti").join(found.select("right_ord"), "right_ord", "left_anti")
 
-    def add(pairs: DataFrame, name: str, block: str | None = None) -> None:
+    def add(new: DataFrame, name: str) -> None:
         nonlocal found
-        new = matching.greedy(pairs, ["diff", "step"], block=block)
         found = cut(found.unionByName(new.select("left_ord", "right_ord", F.lit(name).alias("strategy"), "diff")))
 
     open_, free = remaining()
-    add(matching.near_amounts(open_, free, "nif_organo", [0, -1, 1]), "E3", "block")
+    add(matching.assign(open_, free, [(F.col("nif_organo"), F.col("nif_organo"), [0, -1, 1])]), "E3")
 
     # A buyer's year as one amount, against any of a notice's three
     open_, free = remaining()
@@ -121,16 +116,16 @@ def matched(left: DataFrame, right: DataFrame, aliases: DataFrame | None = None)
     found = cut(found.unionByName(rows.select("left_ord", "right_ord", F.lit("E4").alias("strategy"), "diff")))
 
     open_, free = remaining()
-    add(matching.near_amounts(open_.where("length(name) >= 6"), free, "name", [0, -1, 1]), "E5", "block")
+    add(matching.assign(open_.where("length(name) >= 6"), free, [(F.col("name"), F.col("name"), [0, -1, 1])]), "E5")
     if aliases is not None:
         open_, free = remaining()
         named = open_.join(aliases.select(F.col("organo").alias("name"), "alias"), "name").drop("name").withColumnRenamed("alias", "name")
         pairs = matching.near_amounts(named, free, "name", [0, -1, 1]).groupBy("left_ord", "right_ord").agg(F.min(F.struct("diff", "step")).alias("d")).select("left_ord", "right_ord", "d.*")
-        add(pairs, "E3b")
+        add(matching.greedy(pairs, ["diff", "step"]), "E3b")
     open_, free = remaining()
     # candidates share a word of more than three letters; the overlap counts those of more than two
     alike = matching.near_words(open_.where("length(name) >= 12 and size(tokens) >= 3"), free.where("length(name) > 10"), "tokens", "words", 0.6, 3)
-    add(alike.withColumn("step", F.lit(0)), "E7")
+    add(matching.greedy(alike.withColumn("step", F.lit(0)), ["diff", "step"]), "E7")
 
     # The other lots of a file that has a match
     rest = left.join(found.select("left_ord", "right_ord"), "left_ord", "left").withColumn("matched", F.col("right_ord").isNotNull())
