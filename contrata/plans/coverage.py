@@ -197,8 +197,7 @@ def diagnosis_report(diagnosed: DataFrame) -> DataFrame:
 
 def recoverable(rows: DataFrame, notices: DataFrame, key: str, limits: tuple[float, float] = (0.15, 10_000.0)) -> DataFrame:
     """Q9: missing contracts that a wider tolerance finds a notice for, by the buyer's name or number: each, in order, the first free one of its own year, the year before or after. left_ord, right_ord. All rows are tried, so nothing is extrapolated."""
-    pairs = matching.near_amounts(rows, notices, key, [0, -1, 1], limits)
-    return matching.greedy(pairs.withColumn("place", F.col("right_ord")), ["step", "place"], block="block").select("left_ord", "right_ord")
+    return matching.assign(rows, notices, [(F.col(key), F.col(key), [0, -1, 1])], limits, first=True).select("left_ord", "right_ord")
 
 
 def coverage_by_year(rows: DataFrame, notices: DataFrame) -> DataFrame:
