@@ -219,10 +219,8 @@ def simple_validation(contracts: DataFrame, notices: DataFrame) -> DataFrame:
     left = contracts.withColumns({"nif": identifiers.clean_nif(F.col("nif")), "file": F.upper(F.trim(F.coalesce("expediente", F.lit(""))))})
     right = notices.withColumns({"nif": identifiers.clean_nif(F.col("win_nif")), "file": F.upper(F.trim(F.coalesce("internal_id", F.lit(""))))})
     over = cut(left.where((F.col("amount") >= LEAST_THRESHOLD) & (F.length("nif") >= 5) & F.col("year").isNotNull()))
-    by_winner = matching.near_amounts(over, right, "nif", [0, 1, -1]).drop("block").withColumn("tier", F.lit(1))
-    everywhen = lambda df: df.where(F.length("file") >= 4).withColumn("year", F.lit(0))
-    by_file = matching.near_amounts(everywhen(over), everywhen(right), "file", [0]).drop("block").withColumn("tier", F.lit(2))
-    found = matching.greedy(by_winner.unionByName(by_file), ["tier", "diff", "step"])
+    file = F.when(F.length("file") >= 4, F.col("file"))
+    found = matching.assign(over, right, [(F.col("nif"), F.col("nif"), [0, 1, -1]), (file, file, None)])
     out = left.join(found.select("left_ord", "right_ord", F.when(F.col("tier") == 1, "nif").otherwise("file").alias("strategy")), "left_ord", "left")
     validated = F.col("strategy").isNotNull()
     missing = F.coalesce((F.col("amount") >= LEAST_THRESHOLD) & F.col("year").between(2010, 2025), F.lit(False)) & ~validated & ~F.coalesce("is_minor", F.lit(False))
