@@ -218,7 +218,7 @@ def simple_validation(contracts: DataFrame, notices: DataFrame) -> DataFrame:
     """
     left = contracts.withColumns({"nif": identifiers.clean_nif(F.col("nif")), "file": F.upper(F.trim(F.coalesce("expediente", F.lit(""))))})
     right = notices.withColumns({"nif": identifiers.clean_nif(F.col("win_nif")), "file": F.upper(F.trim(F.coalesce("internal_id", F.lit(""))))})
-    over = cut(left.where((F.col("amount") >= LEAST_THRESHOLD) & (F.length("nif") >= 5) & F.col("year").isNotNull()))
+    over = left.where((F.col("amount") >= LEAST_THRESHOLD) & (F.length("nif") >= 5) & F.col("year").isNotNull())
     file = F.when(F.length("file") >= 4, F.col("file"))
     found = matching.assign(over, right, [(F.col("nif"), F.col("nif"), [0, 1, -1]), (file, file, None)])
     out = left.join(found.select("left_ord", "right_ord", F.when(F.col("tier") == 1, "nif").otherwise("file").alias("strategy")), "left_ord", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from contrata.functions import fixed, identifiers, text, values
 from contrata.operators import dedupe, graph, matching, reshape
-from contrata.operators.cut import shared_folder
+from contrata.operators.cut import cut, shared_folder
 from contrata.plans import companies, coverage, health, quality
 from contrata.plans.driver import CONTRACTS_SQL, MATCHED_SQL, _matched, contracts, table
 from contrata.plans.registry import register
@@ -138,9 +138,8 @@ def q9_years(spark, sf_dir):
     return coverage.coverage_by_year(rows, rows.where("left_ord % 7 = 0").select("year"))
 
 
-def _notices(spark, sf_dir) -> DataFrame:
+def _notices(c: DataFrame) -> DataFrame:
     """Every contract once more, as a notice a little dearer."""
-    c = contracts(spark, sf_dir)
     return c.select(F.col("row_ord").alias("right_ord"), F.col("nif_adjudicatario").alias("win_nif"), F.col("expediente").alias("internal_id"), F.col("organo_contratante").alias("name"), F.col("ano").alias("year"), (F.col("importe_sin_iva") * 1.04).alias("amount"))
 
 
@@ -148,7 +147,7 @@ def _notices(spark, sf_dir) -> DataFrame:
 def q9_recoverable(spark, sf_dir):
     """Its first-fit order makes it no SQL query; tests hold it against the loop."""
     rows = _matched(spark, sf_dir).where("missing").select("left_ord", F.col("organo_contratante").alias("name"), "year", "amount")
-    return coverage.recoverable(rows, _notices(spark, sf_dir), "name")
+    return coverage.recoverable(rows, _notices(contracts(spark, sf_dir)), "name")
 
 
 @register("q6_high_confidence", MATCHED_SQL + "SELECT id AS left_ord, amount FROM m WHERE missing AND ano >= 2016 AND amount >= 221000 AND nif_adjudicatario IN (SELECT nif_adjudicatario FROM m WHERE id % 3 = 0)")
@@ -160,9 +159,11 @@ def q6_high(spark, sf_dir):
 # Q8: the simple validation
 
 def _simple(spark, sf_dir) -> DataFrame:
-    c = contracts(spark, sf_dir).where("tipo_registro = 'LICITACION' and estado in ('Resuelta', 'Adjudicada') and importe_adjudicacion is not null")
+    # both sides are made of contracts, which are joined once
+    every = cut(contracts(spark, sf_dir).select("row_ord", "nif_adjudicatario", "expediente", "ano", "importe_sin_iva", "importe_adjudicacion", "conjunto", "organo_contratante", "tipo_registro", "estado"))
+    c = every.where("tipo_registro = 'LICITACION' and estado in ('Resuelta', 'Adjudicada') and importe_adjudicacion is not null")
     rows = c.select(F.col("row_ord").alias("left_ord"), F.col("nif_adjudicatario").alias("nif"), "expediente", F.col("ano").alias("year"), F.col("importe_adjudicacion").alias("amount"), (F.col("conjunto") == "menores").alias("is_minor"), "organo_contratante")
-    return coverage.simple_validation(rows, _notices(spark, sf_dir).where("right_ord % 3 > 0"))
+    return coverage.simple_validation(rows, _notices(every).where("right_ord % 3 > 0"))
 
 
 @register("q8_validation")
